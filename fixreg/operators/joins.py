@@ -38,10 +38,13 @@ def _pairs(on: Keys) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in items]
 
 
-def _key_cond(pairs: list[tuple[str, str]], rename: dict[str, str], null_safe: bool) -> Column:
+def _key_cond(pairs: list[tuple[str, str]], rename: dict[str, str], null_safe: bool | Sequence[str]) -> Column:
+    """Equality on every key pair; ``null_safe`` is a bool for all keys or
+    the left key names compared null-safe (``<=>``)."""
     cond = None
     for lk, rk in pairs:
-        c = F.col(lk).eqNullSafe(F.col(rename[rk])) if null_safe else F.col(lk) == F.col(rename[rk])
+        safe = (lk in null_safe) if not isinstance(null_safe, bool) else null_safe
+        c = F.col(lk).eqNullSafe(F.col(rename[rk])) if safe else F.col(lk) == F.col(rename[rk])
         cond = c if cond is None else cond & c
     return cond
 
@@ -58,7 +61,7 @@ def lookup_join(
     *,
     how: str = "left",
     suffix: str = "_right",
-    null_safe: bool = True,
+    null_safe: bool | Sequence[str] = True,
     on_duplicate: str = "fail",
     keep_right_keys: bool = False,
     broadcast: bool | None = None,

@@ -142,9 +142,11 @@ def add_first_award(df: DataFrame, awards: DataFrame) -> DataFrame:
 
 
 def add_same_programme_award(df: DataFrame, awards: DataFrame) -> DataFrame:
-    """K8: first bachelor diploma of the intake programme (null-safe on the programme)."""
+    """K8: first bachelor diploma of the intake programme (null-safe on the
+    programme; the person is never null here)."""
     first = first_per_key(awards, [PERSON, PROGRAMME], [AWARD_YEAR, AWARD_DATE, CURRENT_CODE])
-    return lookup_join(df, first, [PERSON, PROGRAMME], suffix=SAME_AWARD_SUFFIX, on_duplicate="ignore")
+    return lookup_join(df, first, [PERSON, PROGRAMME], suffix=SAME_AWARD_SUFFIX, on_duplicate="ignore",
+                       null_safe=[PROGRAMME])
 
 
 def add_status(df: DataFrame, column: str = "StatusNa1Jaar") -> DataFrame:
@@ -177,10 +179,44 @@ def censor_unobserved(df: DataFrame, observed_until: int) -> DataFrame:
     return df.withColumns({c: F.when(~late, F.col(c)) for c in cols if c in df.columns})
 
 
-def build_cohort(enr: DataFrame, *, observed_until: int | None = None) -> DataFrame:
-    """The cohort table: K1 → K4 → K9–K12 → K6 → K13 → K7 → K8 → K14 → K15."""
+def cohort_input(enr: DataFrame, *, materialize: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The columns the cohort needs, written once as a table bucketed by person.
+
+    With ``materialize`` the pruned input is written below the shared
+    checkpoint folder as a table bucketed (and sorted) by the person id:
+
+    * the enrichment runs once instead of once per cohort branch;
+    * a lost executor re-reads the table instead of recomputing the lineage;
+    * every later window and join on the person reads co-located buckets, so
+      none of them shuffles again.
+
+    Rows per person are bounded by years × programmes; null persons are
+    rejected.  Without ``materialize`` the plan stays lazy and each branch
+    shuffles by person on its own.
+    """
     require_columns(enr, REQUIRED, "cohort input")
-    enr = enr.filter(fail_if(F.col(PERSON).isNull(), f"cohort input: {PERSON} is null"))
+    cols = list(dict.fromkeys([c for c in enr.columns if c in set(REQUIRED) | set(keep) or c in _CARRIED]))
+    base = enr.select(*cols).filter(fail_if(F.col(PERSON).isNull(), f"cohort input: {PERSON} is null"))
+    if not materialize:
+        return base
+    from fixreg.session import write_bucketed
+
+    return write_bucketed(base, "cohort_input", PERSON)
+
+
+# Descriptive columns of the intake row carried into the cohort table.
+_CARRIED = ("Opleidingscode", "Opleidingsfase", "TypeOpleiding", "CrohoOnderdeel", "NaamOpleidingCroho",
+            "SoortDiploma", "Vooropleiding", "HoogsteVooropleiding", "Geslacht")
+
+
+def build_cohort(enr: DataFrame, *, observed_until: int | None = None, materialize: bool = True,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """The cohort table: K1 → K4 → K9–K12 → K6 → K13 → K7 → K8 → K14 → K15.
+
+    ``keep``: extra enrolment columns to carry through (default: the needed
+    ones plus a few descriptive columns).
+    """
+    enr = cohort_input(enr, materialize=materialize, keep=keep)
     base = attach_second_year(intake(enr), second_year(enr))
     base = add_retention_flags(base)
     base = add_propaedeutic_flags(base, first_propaedeutic(enr))

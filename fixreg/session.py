@@ -22,6 +22,9 @@ LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # A join whose keys include the bucketing/partitioning key reuses that
+    # partitioning instead of reshuffling on all of its keys.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
 }
@@ -39,13 +42,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
+    """Return the shared checkpoint folder.
+
+    Uses the context's checkpoint dir or ``spark.checkpoint.dir``.  Only a
+    local-mode session (tests, bench) gets a private folder when neither is
+    set; on a cluster a machine-local folder would not survive executor
+    loss, so the setting is required there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         conf_dir = tempfile.mkdtemp(prefix="fixreg-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -65,3 +76,22 @@ def local_path(path: str) -> str:
 
 def is_local_fs(path: str) -> bool:
     return path.startswith("file:") or os.path.isabs(path)
+
+
+def write_bucketed(df, name: str, key: str, buckets: int | None = None):
+    """Write ``df`` as a table bucketed and sorted by ``key`` below the shared
+    checkpoint folder and return the table.
+
+    Reading it back gives Spark the hash partitioning on ``key``: joins and
+    windows on ``key`` between reads of the table need no exchange.  The
+    write cuts the lineage; the files are in shared storage, so a lost
+    executor costs a re-read, not a recomputation.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = f"fixreg_work.{name}_{uuid.uuid4().hex[:12]}"
+    spark.sql("CREATE DATABASE IF NOT EXISTS fixreg_work")
+    (df.repartition(n, key).write.mode("overwrite").format("parquet")
+     .bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table))
+    return spark.table(table)
