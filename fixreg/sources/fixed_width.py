@@ -146,28 +146,21 @@ class DirectoryScan:
 def list_inputs(spark: SparkSession, source_dir: str, layout_names: list[str]) -> list[InputEntry]:
     """List the entries of ``source_dir`` with size and resolved layout.
 
-    Listing uses the ``binaryFile`` source without its ``content`` column, so
-    only file metadata is read.  The result has one row per input file; the
-    file count, not the data, reaches the driver.
+    Uses the cluster's Hadoop file system (HDFS, object stores, local), so
+    only file metadata is read; empty files are seen too.  Hidden entries
+    (``_…``, ``.…``) are skipped, as Spark's readers do.
     """
-    base = source_dir.rstrip("/")
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
-        .select("path", "length")
-    )
-    sizes: dict[str, int] = {}
-    paths: dict[str, str] = {}
-    prefix_len = None
-    for row in listing.collect():
-        p = row["path"]
-        if prefix_len is None:
-            idx = p.find(base.split(":", 1)[-1])
-            prefix_len = idx + len(base.split(":", 1)[-1]) + 1 if idx >= 0 else None
-        rel = p[prefix_len:] if prefix_len else p.rsplit("/", 1)[-1]
-        top = rel.split("/", 1)[0]
-        sizes[top] = sizes.get(top, 0) + int(row["length"])
-        paths[top] = p[: prefix_len] + top if prefix_len else p
-    entries = [InputEntry(n, paths[n], sizes[n], None) for n in sorted(sizes)]
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(source_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    entries = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        size = fs.getContentSummary(st.getPath()).getLength() if st.isDirectory() else st.getLen()
+        entries.append(InputEntry(name, st.getPath().toString(), int(size), None))
+    entries.sort(key=lambda e: e.name)
     for e in entries:
         e.layout = resolve_layout(e.stem, layout_names)
     return entries
