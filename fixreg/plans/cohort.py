@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fixreg.functions.codes import COHORT_TYPE_BY_FLAG, LEVEL_BY_HE_TYPE
 from fixreg.functions.exprs import as_int, eq, fail_if, flag, recode, truthy
 from fixreg.operators.first_per_key import first_per_key
-from fixreg.operators.joins import lookup_join, require_columns
+from fixreg.operators.joins import CheckFailed, lookup_join, require_columns
 
 PERSON = "PersoonsgebondenNummer"
 YEAR = "Inschrijvingsjaar"
@@ -39,6 +40,8 @@ REQUIRED = [PERSON, YEAR, FIRST_YEAR, "IndicatieActiefOpPeildatum", "SoortInschr
             INSTITUTION, PROGRAMME, CURRENT_CODE, MODE, AWARD_YEAR, AWARD_PHASE, AWARD_DATE,
             FIRST_YEAR_DEGREE, "Aantal", "InPACohortDefinitie", "TypeHogerOnderwijsBinnenSoortHogerOnderwijs"]
 
+NUMERIC = [YEAR, FIRST_YEAR, "IndicatieActiefOpPeildatum", FIRST_YEAR_DEGREE]
+
 
 def is_main_enrolment(df_col: str = "SoortInschrijvingHogerOnderwijs"):
     # Stored as text in the layout; compare as a number (ledger L1).
@@ -195,6 +198,9 @@ def cohort_input(enr: DataFrame, *, materialize: bool = True, keep: tuple[str, .
     shuffles by person on its own.
     """
     require_columns(enr, REQUIRED, "cohort input")
+    untyped = [c for c in NUMERIC if not isinstance(enr.schema[c].dataType, T.NumericType)]
+    if untyped:  # ledger L32: the untyped scan mode cannot feed the cohort
+        raise CheckFailed(f"cohort input: numeric columns read as text: {untyped}")
     cols = list(dict.fromkeys([c for c in enr.columns if c in set(REQUIRED) | set(keep) or c in _CARRIED]))
     base = enr.select(*cols).filter(fail_if(F.col(PERSON).isNull(), f"cohort input: {PERSON} is null"))
     if not materialize:

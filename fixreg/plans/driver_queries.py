@@ -101,6 +101,31 @@ def fwf_unknown_converter(spark, d):
     return norm(parse_fixed_width(customer_lines(spark, d), lay).select("c_custkey", "c_nationkey"))
 
 
+GAPPED_LAYOUT = Layout("Dec_klant_gat", (
+    ColumnSpec("c_custkey", 1, 10, "bigint"),
+    ColumnSpec("c_name", 13, 25, "string"),  # two filler positions before the name
+    ColumnSpec("c_nationkey", 38, 3, "bigint"),
+))
+
+
+def fwf_declared_offsets(spark, d):
+    """Cut by declared starts (a layout with a filler gap, ledger L6)."""
+    line = ("lpad(CAST(c_custkey AS STRING), 10, '0') || '**' || rpad(coalesce(c_name, ''), 25, ' ') "
+            "|| lpad(CAST(c_nationkey AS STRING), 3, ' ')")
+    lines = V.table(spark, d, "customer").selectExpr(f"{line} AS __line")
+    return norm(parse_fixed_width(lines, GAPPED_LAYOUT, offsets="declared"))
+
+
+def fwf_na_values(spark, d):
+    """pandas-compatible missing markers on request (ledger L5): ``NA`` → null."""
+    line = ("lpad(CAST(c_custkey AS STRING), 10, '0') || rpad(coalesce(c_name, ''), 25, ' ') || "
+            "CASE WHEN c_custkey % 7 = 0 THEN ' NA' ELSE lpad(CAST(c_nationkey AS STRING), 3, ' ') END || "
+            "rpad(CASE WHEN c_custkey % 5 = 0 THEN 'NA' ELSE coalesce(c_mktsegment, '') END, 10, ' ')")
+    lines = V.table(spark, d, "customer").selectExpr(f"{line} AS __line")
+    out = parse_fixed_width(lines, CUSTOMER_LAYOUT, typed=False, na_values=("NA",))
+    return out.select("c_custkey", "c_nationkey", "c_mktsegment")
+
+
 def fwf_bad_values(spark, d):
     """A number column with letters on some rows: null, not a failed file (L4)."""
     line = ("lpad(CAST(c_custkey AS STRING), 10, '0') || rpad(coalesce(c_name, ''), 25, ' ') || "
@@ -582,6 +607,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fwf_untyped": fwf_untyped,
     "fwf_unknown_converter": fwf_unknown_converter,
     "fwf_bad_values": fwf_bad_values,
+    "fwf_declared_offsets": fwf_declared_offsets,
+    "fwf_na_values": fwf_na_values,
     "fwf_garbage_rows": fwf_garbage_rows,
     "garbage_examples": garbage_examples,
     "fwf_garbage_keep": fwf_garbage_keep,

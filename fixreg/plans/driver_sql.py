@@ -59,6 +59,14 @@ SQL["fwf_unknown_converter"] = (
 SQL["fwf_bad_values"] = (
     "SELECT CAST(c_custkey AS BIGINT) AS c_custkey, "
     "CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE CAST(c_nationkey AS BIGINT) END AS c_nationkey FROM customer")
+SQL["fwf_declared_offsets"] = (
+    f"SELECT CAST(c_custkey AS BIGINT) AS c_custkey, {_cell('substr(c_name, 1, 25)')} AS c_name, "
+    "CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer")
+SQL["fwf_na_values"] = (
+    "SELECT lpad(CAST(c_custkey AS STRING), 10, '0') AS c_custkey, "
+    "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE CAST(c_nationkey AS STRING) END AS c_nationkey, "
+    f"CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE {_cell('substr(c_mktsegment, 1, 10)')} END AS c_mktsegment "
+    "FROM customer")
 GARBAGE = ("SELECT CAST(p_partkey AS BIGINT) AS p_partkey, 'XTRA' || CAST(p_size AS STRING) AS GarbageColumn "
            "FROM part WHERE p_size % 10 = 0")
 SQL["fwf_garbage_rows"] = GARBAGE

@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 from fixreg.operators.first_per_key import first_per_key
 from fixreg.plans.enrich import Lookups
 from fixreg.sources.delimited import parse_delimited
+from fixreg.sources.tables import read_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # Programme digit of an order: the leading digit of its priority (1..5).

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fixreg.functions.codes import classify_prior_education
+from fixreg.functions.codes import OTHER_PRIOR_EDUCATION, classify_prior_education
 from fixreg.operators.first_per_key import first_per_key
 from fixreg.operators.joins import lookup_join
 from fixreg.operators.reshape import unpivot_non_null
@@ -30,15 +30,20 @@ LAST_ATTEMPT_KEYS = [PERSON, "Vooropleiding", "SoortExamen", "VakAfkorting", "Va
 
 
 def add_prior_education(exams: DataFrame, dec_vooropl: DataFrame) -> DataFrame:
-    """Join the original prior-education code list; row count checked."""
-    return lookup_join(exams, dec_vooropl, [PRIOR_CODE], suffix="_vooropl", name="prior-education codes")
+    """X1 + X2 label: join the original prior-education code list (row count
+    checked).  The short label depends only on the code list's description,
+    so it is computed once per code before the join instead of once per exam
+    row; an exam row whose code is not listed gets ``overig`` (ledger L22)."""
+    codes = dec_vooropl.withColumn("Vooropleiding", classify_prior_education(PRIOR_TEXT))
+    j = lookup_join(exams, codes, [PRIOR_CODE], suffix="_vooropl", name="prior-education codes")
+    return j.withColumn("Vooropleiding", F.coalesce("Vooropleiding", F.lit(OTHER_PRIOR_EDUCATION)))
 
 
 def classify(exams: DataFrame) -> DataFrame:
-    """Short prior-education label; keep the nine columns used later."""
-    return exams.withColumn("Vooropleiding", classify_prior_education(PRIOR_TEXT)).select(
-        PERSON, "Diplomajaar", "VakCode", "VakAfkorting", "Vooropleiding", *GRADE_COLUMNS
-    )
+    """Keep the nine columns used later (label added in X1's join)."""
+    if "Vooropleiding" not in exams.columns:
+        exams = exams.withColumn("Vooropleiding", classify_prior_education(PRIOR_TEXT))
+    return exams.select(PERSON, "Diplomajaar", "VakCode", "VakAfkorting", "Vooropleiding", *GRADE_COLUMNS)
 
 
 def melt_grades(exams: DataFrame) -> DataFrame:

@@ -90,8 +90,18 @@ def write_bucketed(df, name: str, key: str, buckets: int | None = None):
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, name)
-    table = f"fixreg_work.{name}_{uuid.uuid4().hex[:12]}"
-    spark.sql("CREATE DATABASE IF NOT EXISTS fixreg_work")
+    table = f"{work_database(spark)}.{name}_{uuid.uuid4().hex[:12]}"
     (df.repartition(n, key).write.mode("overwrite").format("parquet")
      .bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table))
     return spark.table(table)
+
+
+WORK_DATABASE = "fixreg_work"
+
+
+def work_database(spark: SparkSession) -> str:
+    """Catalog database for intermediate tables, located in the shared
+    checkpoint folder (never in a local warehouse folder)."""
+    location = ensure_checkpoint_dir(spark).rstrip("/") + "/fixreg-work-db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {WORK_DATABASE} LOCATION '{location}'")
+    return WORK_DATABASE

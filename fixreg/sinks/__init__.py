@@ -70,7 +70,8 @@ def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], databas
     """
     if replace_database:
         spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    where = f" LOCATION '{location.rstrip('/')}/{database}.db'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
     written = []
     for name, df in tables.items():
         t = table_name(name)

@@ -51,6 +51,7 @@ def parse_fixed_width(
     strict: bool = False,
     keep: tuple[str, ...] = (),
     observation: Observation | None = None,
+    na_values: tuple[str, ...] = (),
 ) -> DataFrame:
     """Cut a column of text lines into the layout's columns.
 
@@ -61,7 +62,9 @@ def parse_fixed_width(
       ``quarantine`` drops such rows (get them with :func:`garbage_rows`);
     * ``strict=True`` raises on a cell the converter cannot read; otherwise
       the value becomes null and is counted in ``observation`` (L4);
-    * ``keep`` carries extra input columns (e.g. the source file) through.
+    * ``keep`` carries extra input columns (e.g. the source file) through;
+    * ``na_values``: extra cell texts read as missing (pandas-compatible
+      sentinels such as ``NA``); by default only a blank cell is missing (L5).
     """
     if on_garbage not in ("fail", "keep", "quarantine"):
         raise ValueError("on_garbage must be fail, keep or quarantine")
@@ -74,6 +77,8 @@ def parse_fixed_width(
     bad_flags: list[tuple[str, Column]] = []
     for spec, start in zip(layout.columns, starts):
         raw = cell(_cut(line, start, spec.width))
+        if na_values:
+            raw = F.when(~raw.isin(*na_values), raw)
         if not typed:
             out_cols.append(raw.alias(spec.name))
             continue
