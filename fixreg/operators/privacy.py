@@ -84,7 +84,10 @@ def crosswalk(
         .distinct()
     )
     by_id = global_rank(distinct, ["__id"], "__r")
-    by_hash = global_rank(distinct.withColumn("__h", salted_hash("__id", salt)), ["__h", "__id"], "__r")
+    # The second ranking reads the ids from the first one's checkpoint, so
+    # the source tables are scanned and de-duplicated once.
+    ids_once = by_id.select("__id")
+    by_hash = global_rank(ids_once.withColumn("__h", salted_hash("__id", salt)), ["__h", "__id"], "__r")
     return by_id.join(by_hash.select("__r", F.col("__id").alias("__p")), "__r").select(
         F.col("__id").alias(id_col), zero_pad("__p", width).alias(pseudo_col)
     )
