@@ -65,6 +65,7 @@ def lookup_join(
     on_duplicate: str = "fail",
     keep_right_keys: bool = False,
     broadcast: bool | None = None,
+    unique_right: bool = False,
     name: str = "lookup join",
 ) -> DataFrame:
     """Left join of a lookup with the reference's checks.
@@ -78,6 +79,9 @@ def lookup_join(
     J1) or ``ignore`` (plain join — use when the right side is unique by
     construction, e.g. the output of ``first_per_key`` on the same keys).
     ``broadcast=True`` only for a side whose size is bounded by the caller.
+    ``unique_right`` additionally requires every right key to be unique and
+    non-null, matched or not (J2); it is checked on the grouped right side
+    inside the same job, not by a separate pass.
     """
     if on_duplicate not in ("fail", "ignore"):
         raise ValueError("on_duplicate must be fail or ignore")
@@ -89,14 +93,19 @@ def lookup_join(
     payload = [c for c in right.columns if c not in rkeys]
     tmp = {c: f"__lj{i}" for i, c in enumerate(right.columns)}
     r = right.select(*[F.col(c).alias(tmp[c]) for c in right.columns])
-    if on_duplicate == "fail":
+    if on_duplicate == "fail" or unique_right:
         r = r.groupBy(*[tmp[k] for k in rkeys]).agg(
             F.count(F.lit(1)).alias("__lj_n"), *[F.first(tmp[c]).alias(tmp[c]) for c in payload]
         )
+    if unique_right:
+        bad_key = F.col("__lj_n") > 1
+        for k in rkeys:
+            bad_key = bad_key | F.col(tmp[k]).isNull()
+        r = r.filter(fail_if(bad_key, f"{name}: lookup key {rkeys} is not unique or has nulls"))
     if broadcast:
         r = F.broadcast(r)
     joined = left.join(r, _key_cond(pairs, tmp, null_safe), how)
-    if on_duplicate == "fail":
+    if on_duplicate == "fail" and not unique_right:
         keys = ", ".join(lk for lk, _ in pairs)
         joined = joined.filter(fail_if(F.col("__lj_n") > 1, f"{name}: a key ({keys}) matches more than one row"))
     out = [F.col(c) for c in left.columns]

@@ -335,12 +335,12 @@ def add_local_id_query(spark, d):
 # ---------------------------------------------------------------------------
 
 def lookup_join_checked(spark, d):
-    nation = assert_unique(V.table(spark, d, "nation"), ["n_nationkey"], "nation")
-    region = assert_unique(V.table(spark, d, "region"), ["r_regionkey"], "region")
+    nation = assert_unique(V.table(spark, d, "nation"), ["n_nationkey"], "nation")  # eager J2
+    region = V.table(spark, d, "region")
     c = V.table(spark, d, "customer").select("c_custkey", "c_nationkey")
     j = lookup_join(c, nation, [("c_nationkey", "n_nationkey")], name="nation")
     j = require_not_null(j, "n_name", "nation")
-    j = lookup_join(j, region, [("n_regionkey", "r_regionkey")], name="region")
+    j = lookup_join(j, region, [("n_regionkey", "r_regionkey")], unique_right=True, name="region")  # lazy J2
     return norm(require_not_null(j, "r_name", "region").select("c_custkey", "n_name", "r_name"))
 
 

@@ -24,7 +24,6 @@ from fixreg.functions.exprs import as_int, eq, flag, label, truthy, zero_pad
 from fixreg.operators.joins import (
     CheckFailed,
     anti_join,
-    assert_unique,
     joined_name,
     lookup_join,
     require_columns,
@@ -97,13 +96,12 @@ def add_prior_institution(enr: DataFrame, register: DataFrame, kind: str = "Hoog
 def add_programme_name(enr: DataFrame, dec_isat: DataFrame, on_missing: str = "fail") -> DataFrame:
     """E5: ``NaamOpleidingCroho`` by current programme code.
 
-    The code list must be unique (J2).  A programme without a name fails
+    The code list must be unique (J2, checked inside the join).  A programme without a name fails
     (``on_missing='fail'``) or is named ``onbekend`` (ledger L20).
     """
-    isat = assert_unique(dec_isat.select("Opleidingscode", "NaamOpleiding"), ["Opleidingscode"], "Dec_isat")
-    j = lookup_join(enr, isat.withColumnRenamed("NaamOpleiding", "NaamOpleidingCroho"),
-                    [("OpleidingActueelEquivalent", "Opleidingscode")], suffix="_opleiding",
-                    name="programme names")
+    isat = dec_isat.select("Opleidingscode", F.col("NaamOpleiding").alias("NaamOpleidingCroho"))
+    j = lookup_join(enr, isat, [("OpleidingActueelEquivalent", "Opleidingscode")], suffix="_opleiding",
+                    unique_right=True, name="Dec_isat")
     if on_missing == "fail":
         return require_not_null(j, "NaamOpleidingCroho", "programme names")
     return j.fillna(UNKNOWN, subset=["NaamOpleidingCroho"])
@@ -181,8 +179,8 @@ def add_pa_cohort(enr: DataFrame) -> DataFrame:
 def add_isced(enr: DataFrame, dec_ho_isced: DataFrame) -> DataFrame:
     """ISCED classification by programme code: unique lookup, row count
     kept, and every row classified — checked on the joined column (L19)."""
-    isced = assert_unique(dec_ho_isced, ["Opleidingscode"], "Dec_ho_ISCED")
-    j = lookup_join(enr, isced, ["Opleidingscode"], suffix="_opleiding", name="ISCED")
+    j = lookup_join(enr, dec_ho_isced, ["Opleidingscode"], suffix="_opleiding", unique_right=True,
+                    name="Dec_ho_ISCED")
     if not added_columns(enr, j):
         raise CheckFailed("ISCED join added no columns")
     return require_not_null(j, joined_name(enr, "ISCEDF2013Rubriek", "_opleiding"), "ISCED")

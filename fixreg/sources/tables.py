@@ -21,5 +21,19 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(want) if have < want else df
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder from file-system metadata."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
 def read_table(spark: SparkSession, path: str, *, min_partitions: int | None = None) -> DataFrame:
-    return spread(spark.read.parquet(path), min_partitions)
+    """Read Parquet; spread the scan only if the input is larger than one
+    split's open cost yet arrives in fewer partitions than the cluster has
+    cores (an unsplittable row group).  Small tables are left alone."""
+    df = spark.read.parquet(path)
+    open_cost = int(spark.conf.get("spark.sql.files.openCostInBytes", "4194304").rstrip("bB") or 4194304)
+    if input_bytes(spark, path) <= open_cost:
+        return df
+    return spread(df, min_partitions)

@@ -121,3 +121,13 @@ def test_missing_programme_name(spark):
     with pytest.raises(Exception, match="NaamOpleidingCroho"):
         E.add_programme_name(df, lk.dec_isat).collect()
     assert E.add_programme_name(df, lk.dec_isat, on_missing="unknown").collect()[0]["NaamOpleidingCroho"] == "onbekend"
+
+
+def test_code_list_must_be_unique_even_unmatched(spark):
+    df = spark.createDataFrame([("34560",)], "OpleidingActueelEquivalent string")
+    dup = spark.createDataFrame([("34560", "A"), ("99999", "B"), ("99999", "C")], "Opleidingscode string, NaamOpleiding string")
+    with pytest.raises(Exception, match="not unique or has nulls"):
+        E.add_programme_name(df, dup).collect()
+    nul = spark.createDataFrame([("34560", "A"), (None, "B")], "Opleidingscode string, NaamOpleiding string")
+    with pytest.raises(Exception, match="not unique or has nulls"):
+        E.add_programme_name(df, nul).collect()
