@@ -78,7 +78,8 @@ def column_converter(dtype: T.DataType, name: str | None = None, can_fail: bool
 
 
 def get_converter(name: str | None) -> tuple[Converter, bool]:
-    """Look up a converter; unknown names fall back to string (S3).
+    """Look up a converter; unknown names fall back to string (S3, J4: the
+    layout × converter-registry lookup).
 
     Returns ``(converter, known)``.
     """
@@ -110,7 +111,8 @@ def _sex(v: Column) -> Column:
 register_converter("string", T.StringType(), lambda c: c, can_fail=False)  # C1
 register_converter("bigint", T.LongType(), lambda c: c.try_cast("bigint"))  # C2
 register_converter("double", T.DoubleType(), lambda c: c.try_cast("double"))  # C3
-register_converter("date", T.DateType(), lambda c: F.try_to_date(c, DATE_FORMAT))  # C4
+# yyyyMMdd; blank, "00000000" and impossible dates → null (ledger L25)
+register_converter("date", T.DateType(), lambda c: F.try_to_date(c, DATE_FORMAT))
 register_converter("null", T.StringType(), lambda c: F.lit(None).cast("string"), can_fail=False)  # C5
 register_converter("sex", T.StringType(), lambda c: c, finish=_sex, can_fail=False)  # C6
 register_converter("study_mode", T.StringType(), lambda c: c, finish=_study_mode, can_fail=False)  # C7

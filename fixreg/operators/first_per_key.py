@@ -1,4 +1,4 @@
-"""First row per key after a sort.
+"""First row per key after a sort (G3; the sort itself, G13, is the window order).
 
 Expressed as ``row_number() over (partition by keys order by …) = 1``.
 Catalyst rewrites this into ``WindowGroupLimit``: a *partial* limit sorts and

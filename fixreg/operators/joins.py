@@ -148,7 +148,7 @@ def require_columns(df: DataFrame, columns: Sequence[str], name: str = "input")
 def member_flag(left: DataFrame, right: DataFrame, on: Keys, flag_col: str, *, null_safe: bool = True) -> DataFrame:
     """Add a 0/1 column: does the left key occur in ``right`` (J8, ``isin``)?
 
-    The right keys are de-duplicated first (partial aggregation before the
+    The right keys are de-duplicated first (G4, partial aggregation before the
     shuffle), so a key repeated a billion times ships once per map task.
     """
     pairs = _pairs(on)

@@ -131,7 +131,8 @@ def pseudonymise(
 
     The crosswalk covers the union of the ids of ``crosswalk_from`` (default:
     every table, so exam rows of people without an enrolment keep a pseudo
-    id — ledger L14).  Tables without the id column are only blanked.
+    id — ledger L14).  It runs for any set of tables, also exam subjects
+    alone (L12).  Tables without the id column are only blanked.
     """
     if mode not in ("hash", "permute"):
         raise ValueError("mode must be hash or permute")
@@ -154,6 +155,8 @@ def pseudonymise(
 
 
 def add_local_id(df: DataFrame, local_ids: DataFrame, left_on: str, right_on: str) -> DataFrame:
-    """Attach an institution's own id by left join; fails if rows would multiply (P5)."""
+    """Attach an institution's own id by left join; fails if rows would multiply (P5).
+
+    Independent of pseudonymisation, always a left join (ledger L13)."""
     return lookup_join(df, local_ids, [(left_on, right_on)], keep_right_keys=True, suffix="_local",
                        name="local id")

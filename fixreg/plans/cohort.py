@@ -56,7 +56,8 @@ def intake(enr: DataFrame) -> DataFrame:
 
 
 def second_year(enr: DataFrame) -> DataFrame:
-    """K2: main enrolments in the year after the first year at the institution."""
+    """K2: main enrolments in the year after the first year at the institution
+    (G6 filter, G7 projection, G12 year arithmetic)."""
     return enr.filter(eq(YEAR, F.col(FIRST_YEAR) + 1) & is_main_enrolment()).select(
         PERSON, PROGRAMME, INSTITUTION, MODE, CURRENT_CODE
     )
@@ -80,14 +81,15 @@ def bachelor_awards(enr: DataFrame) -> DataFrame:
 
 
 def attach_second_year(cohort: DataFrame, year2: DataFrame) -> DataFrame:
-    """K4: intake ⟕ second year on person; a person with two second-year
-    rows fails the check instead of duplicating the intake row."""
+    """K4 (J6): intake ⟕ second year on person; a person with two
+    second-year rows fails the check instead of duplicating the intake row."""
     return lookup_join(cohort, year2, [PERSON], suffix=YEAR2_SUFFIX, null_safe=False,
                        name="second-year enrolment")
 
 
 def add_retention_flags(df: DataFrame) -> DataFrame:
-    """K9–K12 on the intake ⟕ second-year table."""
+    """K9 drop-out, K10 ``opleiding_gelijk``, K11 re-enrolled at the
+    institution (the rule that takes effect, ledger L16), K12 switch."""
     same_inst = eq(INSTITUTION, INSTITUTION + YEAR2_SUFFIX)
     degree = truthy(F.col(FIRST_YEAR_DEGREE) == 1)
     same_prog = eq(PROGRAMME, PROGRAMME + YEAR2_SUFFIX) | eq(CURRENT_CODE, CURRENT_CODE + YEAR2_SUFFIX)
@@ -127,7 +129,7 @@ def add_reenrolled_with_propaedeutic(df: DataFrame) -> DataFrame:
 
 
 def add_first_award(df: DataFrame, awards: DataFrame) -> DataFrame:
-    """K7: first bachelor diploma of any programme; years to it; within-N flags.
+    """K7 (J7): first bachelor diploma of any programme; years to it; within-N flags.
 
     A diploma before the first year gives a negative count, which counts as
     "within" every threshold (ledger L23).
@@ -145,7 +147,7 @@ def add_first_award(df: DataFrame, awards: DataFrame) -> DataFrame:
 
 
 def add_same_programme_award(df: DataFrame, awards: DataFrame) -> DataFrame:
-    """K8: first bachelor diploma of the intake programme (null-safe on the
+    """K8 (J7): first bachelor diploma of the intake programme (null-safe on the
     programme; the person is never null here)."""
     first = first_per_key(awards, [PERSON, PROGRAMME], [AWARD_YEAR, AWARD_DATE, CURRENT_CODE])
     return lookup_join(df, first, [PERSON, PROGRAMME], suffix=SAME_AWARD_SUFFIX, on_duplicate="ignore",
@@ -153,7 +155,8 @@ def add_same_programme_award(df: DataFrame, awards: DataFrame) -> DataFrame:
 
 
 def add_status(df: DataFrame, column: str = "StatusNa1Jaar") -> DataFrame:
-    """The last matching rule of degree / switch / drop-out wins."""
+    """The last matching rule of degree / switch / drop-out wins; the
+    unreachable "diploma obtained" status is not produced (ledger L17)."""
     status = (
         F.when(F.col(FIRST_YEAR_DEGREE) == 1, F.lit("HoDiplomaInEersteJaar"))
         .when(F.col("SwitchBinnenInstelling") == 1, F.lit("SwitchBinnenInstelling"))

@@ -265,7 +265,7 @@ def fwf_by_kind(spark, d):
              for n, t in sorted(scan.tables.items())]
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(p, allowMissingColumns=True)  # G9
     return norm(out)
 
 

@@ -1,8 +1,10 @@
 """Enriched enrolments.
 
 A chain of ``DataFrame.transform`` steps: recodes are literal-map
-expressions, lookups are checked left joins (broadcast when Spark's size
-check allows).  The lookups are passed in explicitly (ledger L27).
+expressions (G1, with G8 defaults), lookups are checked left joins (J5,
+broadcast when Spark's size check allows).  The lookups are passed in
+explicitly (ledger L27); right columns that clash are suffixed and only
+those are dropped (L28).
 """
 
 from __future__ import annotations

@@ -40,7 +40,7 @@ def add_prior_education(exams: DataFrame, dec_vooropl: DataFrame) -> DataFrame:
 
 
 def classify(exams: DataFrame) -> DataFrame:
-    """Keep the nine columns used later (label added in X1's join)."""
+    """Keep the nine columns used later (G7; label added in X1's join)."""
     if "Vooropleiding" not in exams.columns:
         exams = exams.withColumn("Vooropleiding", classify_prior_education(PRIOR_TEXT))
     return exams.select(PERSON, "Diplomajaar", "VakCode", "VakAfkorting", "Vooropleiding", *GRADE_COLUMNS)

@@ -1,4 +1,5 @@
-"""Input-coverage report.
+"""Input-coverage report (R1), built to the intent of the register tool's
+``qa`` command, which cannot run as written (ledger L30).
 
 Which input entries resolve to which layout, what each holds (records,
 shortest/longest record, records with undeclared trailing data) and which
@@ -70,7 +71,8 @@ def feed_report(spark: SparkSession, source_dir: str, layouts: dict[str, Layout]
     else:
         ent = ent.select("*", *[F.lit(None).cast("bigint").alias(c)
                                 for c in ("records", "min_length", "max_length", "garbage_records")])
-    # Layouts without any entry come from the outer side of this join.
+    # Layouts without any entry come from the outer side of this join (the
+    # union of "files" and "layouts without file", G9); missing → ❌.
     report = ent.join(lay.select("layout"), "layout", "full_outer")
     return report.select(
         F.coalesce("entry", F.lit(MISSING)).alias("entry"),

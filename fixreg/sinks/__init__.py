@@ -1,4 +1,7 @@
-"""Sinks (W1–W5): Parquet, CSV, catalog tables and stable-name views."""
+"""Sinks (W1–W5): Parquet, CSV, catalog tables and stable-name views.
+
+The spreadsheet writer of the register tool is not built (single-machine
+format with a row cap, ledger L29)."""
 
 from __future__ import annotations
 

@@ -153,7 +153,8 @@ def list_inputs(spark: SparkSession, source_dir: str, layout_names: list[str]) -
 
     Uses the cluster's Hadoop file system (HDFS, object stores, local), so
     only file metadata is read; empty files are seen too.  Hidden entries
-    (``_…``, ``.…``) are skipped, as Spark's readers do.
+    (``_…``, ``.…``) are skipped, as Spark's readers do.  Each entry is
+    listed once and resolves to at most one layout (ledger L26).
     """
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(source_dir)
