@@ -64,6 +64,7 @@ def main() -> None:
         run(build())
         times[name] = round(time.perf_counter() - t0, 3)
     total = round(sum(times.values()), 3)
+    fwf_rows = spark.read.text(fwf_dir).count()
     print(json.dumps({
         "metric": "total_seconds_headline_queries",
         "value": total,
@@ -71,6 +72,7 @@ def main() -> None:
         "queries": times,
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "cpus": cpus,
+        "fwf_parse_rows_per_sec": round(fwf_rows / times["fwf_parse_orders"]) if times["fwf_parse_orders"] else None,
     }))
     spark.stop()
 

@@ -481,20 +481,25 @@ def enriched_enrolments(spark, d):
 # Cohorts
 # ---------------------------------------------------------------------------
 
+def _cohort_base(spark, d) -> DataFrame:
+    """Enrolments as the cohort reads them: pruned, bucketed by person."""
+    return K.cohort_input(enriched(spark, d))
+
+
 def intake(spark, d):
-    return norm(K.intake(enriched(spark, d)).select(PGN, "Inschrijvingsjaar", "ActueleInstelling", "opleiding"))
+    return norm(K.intake(_cohort_base(spark, d)).select(PGN, "Inschrijvingsjaar", "ActueleInstelling", "opleiding"))
 
 
 def second_year(spark, d):
-    return norm(K.second_year(enriched(spark, d)))
+    return norm(K.second_year(_cohort_base(spark, d)))
 
 
 def first_award(spark, d):
-    return norm(K.first_propaedeutic(enriched(spark, d)))
+    return norm(K.first_propaedeutic(_cohort_base(spark, d)))
 
 
 def awards(spark, d):
-    return norm(K.bachelor_awards(enriched(spark, d)))
+    return norm(K.bachelor_awards(_cohort_base(spark, d)))
 
 
 def _cohort(spark, d) -> DataFrame:
@@ -502,7 +507,7 @@ def _cohort(spark, d) -> DataFrame:
 
 
 def cohort_year2(spark, d):
-    e = enriched(spark, d)
+    e = _cohort_base(spark, d)
     c = K.attach_second_year(K.intake(e), K.second_year(e))
     return norm(c.select(PGN, "Inschrijvingsjaar", "ActueleInstelling_2ejaar", "opleiding_2ejaar",
                          "Opleidingsvorm_2ejaar", "OpleidingActueelEquivalent_2ejaar"))
