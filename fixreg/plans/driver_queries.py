@@ -140,7 +140,7 @@ PART_LAYOUT = Layout("Dec_onderdeel", (
     ColumnSpec("p_brand", 9, 10, "string"),
 ))
 PART_LINE = ("lpad(CAST(p_partkey AS STRING), 8, '0') || rpad(p_brand, 10, ' ') || "
-             "CASE WHEN p_size % 10 = 0 THEN 'XTRA' || CAST(p_size AS STRING) ELSE '' END")
+             "CASE WHEN p_type = 'PROMO' THEN 'XTRA' || CAST(p_size AS STRING) ELSE '' END")
 
 
 def _part_lines(spark, d):

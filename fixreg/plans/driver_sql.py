@@ -68,15 +68,15 @@ SQL["fwf_na_values"] = (
     f"CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE {_cell('substr(c_mktsegment, 1, 10)')} END AS c_mktsegment "
     "FROM customer")
 GARBAGE = ("SELECT CAST(p_partkey AS BIGINT) AS p_partkey, 'XTRA' || CAST(p_size AS STRING) AS GarbageColumn "
-           "FROM part WHERE p_size % 10 = 0")
+           "FROM part WHERE p_type = 'PROMO'")
 SQL["fwf_garbage_rows"] = GARBAGE
 SQL["garbage_examples"] = GARBAGE + " ORDER BY p_partkey LIMIT 10"
 SQL["fwf_garbage_keep"] = (
     "SELECT CAST(p_partkey AS BIGINT) AS p_partkey, NULLIF(trim(p_brand), '') AS p_brand, "
-    "CASE WHEN p_size % 10 = 0 THEN 'XTRA' || CAST(p_size AS STRING) END AS GarbageColumn FROM part")
+    "CASE WHEN p_type = 'PROMO' THEN 'XTRA' || CAST(p_size AS STRING) END AS GarbageColumn FROM part")
 SQL["fwf_quarantine"] = (
     "SELECT CAST(p_partkey AS BIGINT) AS p_partkey, NULLIF(trim(p_brand), '') AS p_brand FROM part "
-    "WHERE NOT (p_size % 10 = 0)")
+    "WHERE p_type <> 'PROMO' OR p_type IS NULL")
 SQL["fwf_dates_zero_null"] = (
     "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, "
     "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS o_orderdate, "
