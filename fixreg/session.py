@@ -78,6 +78,37 @@ def is_local_fs(path: str) -> bool:
     return path.startswith("file:") or os.path.isabs(path)
 
 
+BYTES_PER_BUCKET = 128 * 1024 * 1024
+MAX_FILES_TO_SIZE = 2000
+
+
+def estimate_input_bytes(df) -> int | None:
+    """Bytes of the files ``df`` reads (file-system metadata), or None when
+    the file list is too long to size cheaply or unknown."""
+    files = df.inputFiles()
+    if not files or len(files) > MAX_FILES_TO_SIZE:
+        return None
+    sc = df.sparkSession.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        p = sc._jvm.org.apache.hadoop.fs.Path(f)
+        total += int(p.getFileSystem(conf).getFileStatus(p).getLen())
+    return total
+
+
+def bucket_count(df) -> int:
+    """Buckets for a work table: about ``BYTES_PER_BUCKET`` of input each, at
+    least the cluster's parallelism, at most ``spark.sql.shuffle.partitions``."""
+    spark = df.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = min(most, spark.sparkContext.defaultParallelism)
+    size = estimate_input_bytes(df)
+    if size is None:
+        return most
+    return max(least, min(most, -(-size // BYTES_PER_BUCKET)))
+
+
 def write_bucketed(df, name: str, key: str, buckets: int | None = None):
     """Write ``df`` as a table bucketed and sorted by ``key`` below the shared
     checkpoint folder and return the table.
@@ -88,7 +119,7 @@ def write_bucketed(df, name: str, key: str, buckets: int | None = None):
     executor costs a re-read, not a recomputation.
     """
     spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or bucket_count(df)
     path = scratch_path(spark, name)
     table = f"{work_database(spark)}.{name}_{uuid.uuid4().hex[:12]}"
     (df.repartition(n, key).write.mode("overwrite").format("parquet")

@@ -49,3 +49,18 @@ def test_feed_report_empty_dir(spark, workdir):
     open(os.path.join(workdir, "Dec_isat.asc"), "w").close()
     rows = feed_report(spark, workdir).collect()
     assert len(rows) == 20 and any(r["entry"] == "Dec_isat.asc" for r in rows)
+
+
+def test_lookups_broadcast_when_small(spark):
+    df = Q.enriched_enrolments(spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 5 and "SortMergeJoin" not in plan
+
+
+def test_bucket_count_follows_input_size(spark):
+    from fixreg.session import bucket_count
+
+    df = spark.read.parquet(f"{SF}/orders.parquet")
+    n = bucket_count(df)
+    assert 1 <= n <= int(spark.conf.get("spark.sql.shuffle.partitions"))
