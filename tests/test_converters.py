@@ -70,3 +70,17 @@ def test_registered_converter(spark):
                                   "bigint_zero_null"])
 def test_builtin_names(name):
     assert get_converter(name)[1]
+
+
+def test_pandas_udf_converter(spark):
+    """A converter Spark has no built-in for, as an Arrow-batched pandas UDF."""
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    @F.pandas_udf(T.StringType())
+    def reverse(s: pd.Series) -> pd.Series:
+        return s.str[::-1]
+
+    register_converter("reversed_code", T.StringType(), lambda c: reverse(c))
+    out, known = convert(spark, "reversed_code", ["abc ", "  "])
+    assert known and out == ["cba", None]

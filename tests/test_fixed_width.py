@@ -113,3 +113,14 @@ def test_stream_conversion(spark, workdir):
     out, ck = os.path.join(workdir, "out"), os.path.join(workdir, "ck")
     convert_stream(spark, src, LAY, out, ck).awaitTermination()
     assert sorted(r["jaar"] for r in spark.read.parquet(out).collect()) == [2024, 2025]
+
+
+def test_gzip_input_is_spread(spark, workdir):
+    import gzip
+
+    path = os.path.join(workdir, "Dec_test.asc.gz")
+    line = "0001Naam      2024\n"
+    with gzip.open(path, "wb") as f:
+        f.write((line * 400000).encode("latin-1"))  # > 4 MB of text, one unsplittable file
+    df = read_fixed_width(spark, path, LAY)
+    assert df.rdd.getNumPartitions() >= 2 and df.count() == 400000
