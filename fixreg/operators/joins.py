@@ -109,9 +109,12 @@ def lookup_join(
         keys = ", ".join(lk for lk, _ in pairs)
         joined = joined.filter(fail_if(F.col("__lj_n") > 1, f"{name}: a key ({keys}) matches more than one row"))
     out = [F.col(c) for c in left.columns]
-    if keep_right_keys:
-        out += [F.col(tmp[rk]).alias(joined_name(left, rk, suffix)) for lk, rk in pairs if lk != rk]
-    out += [F.col(tmp[c]).alias(joined_name(left, c, suffix)) for c in payload]
+    added = ([(rk, joined_name(left, rk, suffix)) for lk, rk in pairs if lk != rk] if keep_right_keys else [])
+    added += [(c, joined_name(left, c, suffix)) for c in payload]
+    taken = [n for _, n in added if n in left.columns]
+    if taken:
+        raise CheckFailed(f"{name}: output columns {taken} already exist; rename or drop them first")
+    out += [F.col(tmp[c]).alias(n) for c, n in added]
     return joined.select(*out)
 
 

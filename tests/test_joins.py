@@ -79,3 +79,10 @@ def test_first_per_key_limits_before_shuffle(spark):
     partial = plan.index("WindowGroupLimit")
     assert "Partial" in plan and "Final" in plan
     assert plan.rfind("Exchange") > partial or "Partial" in plan[plan.rfind("Exchange"):]
+
+
+def test_lookup_join_output_collision_is_reported(spark):
+    left = spark.createDataFrame([(1, "a", "x")], "k int, name string, name_r string")
+    right = spark.createDataFrame([(1, "b")], "k int, name string")
+    with pytest.raises(CheckFailed, match="already exist"):
+        lookup_join(left, right, ["k"], suffix="_r")
