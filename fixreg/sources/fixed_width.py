@@ -122,9 +122,9 @@ def read_fixed_width(spark: SparkSession, paths: str | list[str], layout: Layout
                      encoding: str = ENCODING, with_source: bool = False, **kwargs) -> DataFrame:
     """Read fixed-width text files (S1/S2): latin1 lines → typed columns.
 
-    Plain text is split by Spark into parallel tasks.  A large file that
-    cannot be split (e.g. gzip) arrives as one partition; its lines are then
-    spread over the cluster before parsing (see ``sources.tables.spread``).
+    Plain text is split by Spark into parallel tasks.  A file of a codec
+    that cannot be split (e.g. gzip) arrives as one partition; its lines are
+    then spread over the cluster before parsing (see ``sources.tables.spread``).
     """
     raw = spark.read.text(paths)
     lines = decode_lines(raw, encoding, keep_source=with_source)
@@ -134,14 +134,14 @@ def read_fixed_width(spark: SparkSession, paths: str | list[str], layout: Layout
 
 
 def _spread_if_unsplit(spark: SparkSession, lines: DataFrame, paths: str | list[str]) -> DataFrame:
-    from fixreg.sources.tables import input_bytes, spread
+    """Plain text is split by Spark itself; only files of a non-splittable
+    codec (one task per file, whatever its size) are spread."""
+    from fixreg.sources.tables import spread
 
     plist = [paths] if isinstance(paths, str) else list(paths)
     if any(p.lower().endswith(UNSPLITTABLE) for p in plist):
-        return spread(lines)  # compressed size says little about the line count
-    open_cost = int(spark.conf.get("spark.sql.files.openCostInBytes", "4194304").rstrip("bB") or 4194304)
-    total = sum(input_bytes(spark, p) for p in plist)
-    return spread(lines) if total > open_cost else lines
+        return spread(lines)
+    return lines
 
 
 # Codecs whose files Spark reads in a single task.
