@@ -80,10 +80,10 @@ def bachelor_awards(enr: DataFrame) -> DataFrame:
     )
 
 
-def attach_second_year(cohort: DataFrame, year2: DataFrame) -> DataFrame:
+def attach_second_year(cohort: DataFrame, year2: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """K4 (J6): intake ⟕ second year on person; a person with two
     second-year rows fails the check instead of duplicating the intake row."""
-    return lookup_join(cohort, year2, [PERSON], suffix=YEAR2_SUFFIX, null_safe=False,
+    return lookup_join(cohort, year2, [PERSON], suffix=YEAR2_SUFFIX, null_safe=False, broadcast=broadcast,
                        name="second-year enrolment")
 
 
@@ -102,7 +102,7 @@ def add_retention_flags(df: DataFrame) -> DataFrame:
     })
 
 
-def add_propaedeutic_flags(df: DataFrame, propaedeutic: DataFrame) -> DataFrame:
+def add_propaedeutic_flags(df: DataFrame, propaedeutic: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """K6: propaedeutic in year 1 / within 2 years, judged on the diploma
     row's own first year; drop-out with propaedeutic."""
     p = propaedeutic.select(
@@ -110,7 +110,7 @@ def add_propaedeutic_flags(df: DataFrame, propaedeutic: DataFrame) -> DataFrame:
         eq(F.col("JaarPropedeuseDiploma"), F.col(FIRST_YEAR)).alias("__p1"),
         eq(F.col("JaarPropedeuseDiploma"), F.col(FIRST_YEAR) + 1).alias("__p2"),
     )
-    j = df.join(p, F.col(PERSON) == F.col("__pp"), "left")
+    j = df.join(F.broadcast(p) if broadcast else p, F.col(PERSON) == F.col("__pp"), "left")
     p1 = truthy(F.col("__p1"))
     return j.select(
         *df.columns,
@@ -128,14 +128,15 @@ def add_reenrolled_with_propaedeutic(df: DataFrame) -> DataFrame:
     )
 
 
-def add_first_award(df: DataFrame, awards: DataFrame) -> DataFrame:
+def add_first_award(df: DataFrame, awards: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """K7 (J7): first bachelor diploma of any programme; years to it; within-N flags.
 
     A diploma before the first year gives a negative count, which counts as
     "within" every threshold (ledger L23).
     """
     first = first_per_key(awards, [PERSON], [AWARD_YEAR, AWARD_DATE, PROGRAMME, CURRENT_CODE])
-    j = lookup_join(df, first, [PERSON], suffix=ANY_AWARD_SUFFIX, null_safe=False, on_duplicate="ignore")
+    j = lookup_join(df, first, [PERSON], suffix=ANY_AWARD_SUFFIX, null_safe=False, on_duplicate="ignore",
+                    broadcast=broadcast)
     years = F.col(AWARD_YEAR + ANY_AWARD_SUFFIX) - F.col(FIRST_YEAR)
     cols = {
         "BachelorDiploma": F.coalesce(F.col("Aantal" + ANY_AWARD_SUFFIX), F.lit(0)),
@@ -146,12 +147,12 @@ def add_first_award(df: DataFrame, awards: DataFrame) -> DataFrame:
     return j.withColumns(cols)
 
 
-def add_same_programme_award(df: DataFrame, awards: DataFrame) -> DataFrame:
+def add_same_programme_award(df: DataFrame, awards: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """K8 (J7): first bachelor diploma of the intake programme (null-safe on the
     programme; the person is never null here)."""
     first = first_per_key(awards, [PERSON, PROGRAMME], [AWARD_YEAR, AWARD_DATE, CURRENT_CODE])
     return lookup_join(df, first, [PERSON, PROGRAMME], suffix=SAME_AWARD_SUFFIX, on_duplicate="ignore",
-                       null_safe=[PROGRAMME])
+                       null_safe=[PROGRAMME], broadcast=broadcast)
 
 
 def add_status(df: DataFrame, column: str = "StatusNa1Jaar") -> DataFrame:
@@ -185,6 +186,15 @@ def censor_unobserved(df: DataFrame, observed_until: int) -> DataFrame:
     return df.withColumns({c: F.when(~late, F.col(c)) for c in cols if c in df.columns})
 
 
+def _prepared(enr: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    require_columns(enr, REQUIRED, "cohort input")
+    untyped = [c for c in NUMERIC if not isinstance(enr.schema[c].dataType, T.NumericType)]
+    if untyped:  # ledger L32: the untyped scan mode cannot feed the cohort
+        raise CheckFailed(f"cohort input: numeric columns read as text: {untyped}")
+    cols = list(dict.fromkeys([c for c in enr.columns if c in set(REQUIRED) | set(keep) or c in _CARRIED]))
+    return enr.select(*cols).filter(fail_if(F.col(PERSON).isNull(), f"cohort input: {PERSON} is null"))
+
+
 def cohort_input(enr: DataFrame, *, materialize: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """The columns the cohort needs, written once as a table bucketed by person.
 
@@ -196,16 +206,10 @@ def cohort_input(enr: DataFrame, *, materialize: bool = True, keep: tuple[str, .
     * every later window and join on the person reads co-located buckets, so
       none of them shuffles again.
 
-    Rows per person are bounded by years × programmes; null persons are
-    rejected.  Without ``materialize`` the plan stays lazy and each branch
-    shuffles by person on its own.
+    Null persons are rejected.  Without ``materialize`` the plan stays lazy
+    and each branch shuffles by person on its own.
     """
-    require_columns(enr, REQUIRED, "cohort input")
-    untyped = [c for c in NUMERIC if not isinstance(enr.schema[c].dataType, T.NumericType)]
-    if untyped:  # ledger L32: the untyped scan mode cannot feed the cohort
-        raise CheckFailed(f"cohort input: numeric columns read as text: {untyped}")
-    cols = list(dict.fromkeys([c for c in enr.columns if c in set(REQUIRED) | set(keep) or c in _CARRIED]))
-    base = enr.select(*cols).filter(fail_if(F.col(PERSON).isNull(), f"cohort input: {PERSON} is null"))
+    base = _prepared(enr, keep)
     if not materialize:
         return base
     from fixreg.session import write_bucketed
@@ -217,24 +221,67 @@ def cohort_input(enr: DataFrame, *, materialize: bool = True, keep: tuple[str, .
 _CARRIED = ("Opleidingscode", "Opleidingsfase", "TypeOpleiding", "CrohoOnderdeel", "NaamOpleidingCroho",
             "SoortDiploma", "Vooropleiding", "HoogsteVooropleiding", "Geslacht")
 
+# A person with more enrolment rows than this is "hot" (a real student has a
+# few dozen at most; a placeholder id for unknown persons can have millions).
+HOT_PERSON_ROWS = 10_000
 
-def build_cohort(enr: DataFrame, *, observed_until: int | None = None, materialize: bool = True,
-                 keep: tuple[str, ...] = ()) -> DataFrame:
-    """The cohort table: K1 → K4 → K9–K12 → K6 → K13 → K7 → K8 → K14 → K15.
 
-    ``keep``: extra enrolment columns to carry through (default: the needed
-    ones plus a few descriptive columns).
-    """
-    enr = cohort_input(enr, materialize=materialize, keep=keep)
-    base = attach_second_year(intake(enr), second_year(enr))
+def hot_persons(base: DataFrame, threshold: int) -> DataFrame:
+    """Persons with more than ``threshold`` rows, checkpointed.
+
+    The count is aggregated map-side first, so a hot person costs one row per
+    map task.  The result has at most ``rows / threshold`` entries — the
+    size bound that makes broadcasting it safe."""
+    from fixreg.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(base.sparkSession)
+    counts = base.groupBy(PERSON).agg(F.count(F.lit(1)).alias("__rows"))
+    return counts.filter(F.col("__rows") > threshold).select(PERSON).checkpoint(eager=True)
+
+
+def _indicators(enr: DataFrame, broadcast: bool | None = None) -> DataFrame:
+    base = attach_second_year(intake(enr), second_year(enr), broadcast=broadcast)
     base = add_retention_flags(base)
-    base = add_propaedeutic_flags(base, first_propaedeutic(enr))
+    base = add_propaedeutic_flags(base, first_propaedeutic(enr), broadcast=broadcast)
     base = add_reenrolled_with_propaedeutic(base)
     awards = bachelor_awards(enr)
-    base = add_first_award(base, awards)
-    base = add_same_programme_award(base, awards)
-    base = add_status(base)
-    base = finalize(base)
+    base = add_first_award(base, awards, broadcast=broadcast)
+    base = add_same_programme_award(base, awards, broadcast=broadcast)
+    return finalize(add_status(base))
+
+
+def build_cohort(enr: DataFrame, *, observed_until: int | None = None, materialize: bool = True,
+                 keep: tuple[str, ...] = (), hot_person_rows: int | None = HOT_PERSON_ROWS) -> DataFrame:
+    """The cohort table: K1 → K4 → K9–K12 → K6 → K13 → K7 → K8 → K14 → K15.
+
+    With ``materialize`` (default) persons are split by size first:
+
+    * ordinary persons go through the person-bucketed table, after which no
+      join or window shuffles;
+    * hot persons (more than ``hot_person_rows`` rows) are not co-located —
+      one of them could hold a third of all rows and would become a single
+      task.  Their rows stay where they are, and their per-person right
+      sides (at most one row per person, or per person and programme, after
+      map-side limits) are broadcast.  This branch is skipped when no person
+      is hot.
+
+    ``keep``: extra enrolment columns to carry through.
+    """
+    base = _prepared(enr, keep)
+    if not materialize:
+        out = _indicators(base)
+    else:
+        from fixreg.session import write_bucketed
+
+        if hot_person_rows is None:
+            out = _indicators(write_bucketed(base, "cohort_input", PERSON))
+        else:
+            hot = hot_persons(base, hot_person_rows)
+            ordinary = base.join(F.broadcast(hot), PERSON, "left_anti")
+            out = _indicators(write_bucketed(ordinary, "cohort_input", PERSON))
+            if not hot.isEmpty():
+                hot_rows = base.join(F.broadcast(hot), PERSON, "left_semi")
+                out = out.unionByName(_indicators(hot_rows, broadcast=True))
     if observed_until is not None:
-        base = censor_unobserved(base, observed_until)
-    return base
+        out = censor_unobserved(out, observed_until)
+    return out
