@@ -9,6 +9,7 @@ second-year table, whose uniqueness is checked inside its join (J1).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -260,10 +261,10 @@ def build_cohort(enr: DataFrame, *, observed_until: int | None = None, materiali
       join or window shuffles;
     * hot persons (more than ``hot_person_rows`` rows) are not co-located —
       one of them could hold a third of all rows and would become a single
-      task.  Their rows stay where they are, and their per-person right
-      sides (at most one row per person, or per person and programme, after
-      map-side limits) are broadcast.  This branch is skipped when no person
-      is hot.
+      task.  Their rows are written as they lie (no shuffle), and their
+      per-person right sides (at most one row per person, or per person and
+      programme, after map-side limits) are broadcast.  This branch is
+      skipped when no person is hot.
 
     ``keep``: extra enrolment columns to carry through.
     """
@@ -271,17 +272,25 @@ def build_cohort(enr: DataFrame, *, observed_until: int | None = None, materiali
     if not materialize:
         out = _indicators(base)
     else:
-        from fixreg.session import write_bucketed
+        from fixreg.session import scratch_path, write_bucketed
 
         if hot_person_rows is None:
             out = _indicators(write_bucketed(base, "cohort_input", PERSON))
         else:
-            hot = hot_persons(base, hot_person_rows)
-            ordinary = base.join(F.broadcast(hot), PERSON, "left_anti")
-            out = _indicators(write_bucketed(ordinary, "cohort_input", PERSON))
-            if not hot.isEmpty():
-                hot_rows = base.join(F.broadcast(hot), PERSON, "left_semi")
-                out = out.unionByName(_indicators(hot_rows, broadcast=True))
+            # The count, the bucketed write and the hot rows' write all read
+            # one computation of the input (a lost block is recomputed from
+            # its lineage); it is released once both tables are written.
+            base = base.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                hot = hot_persons(base, hot_person_rows)
+                ordinary = base.join(F.broadcast(hot), PERSON, "left_anti")
+                out = _indicators(write_bucketed(ordinary, "cohort_input", PERSON))
+                if not hot.isEmpty():
+                    path = scratch_path(base.sparkSession, "cohort-hot")
+                    base.join(F.broadcast(hot), PERSON, "left_semi").write.parquet(path)
+                    out = out.unionByName(_indicators(base.sparkSession.read.parquet(path), broadcast=True))
+            finally:
+                base.unpersist()
     if observed_until is not None:
         out = censor_unobserved(out, observed_until)
     return out
