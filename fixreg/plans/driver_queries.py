@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from fixreg.functions.codes import classify_prior_education, profile_of
 from fixreg.functions.converters import register_converter
-from fixreg.operators.first_per_key import first_per_key
 from fixreg.operators.joins import (
     anti_join,
     assert_unique,
