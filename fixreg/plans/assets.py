@@ -26,7 +26,6 @@ from fixreg.sources.layout import Layout
 
 ENROLMENT_PREFIX, EXAM_PREFIX = "EV", "VAKHAV"
 LOCAL_NAME_COLUMNS = ["Opleidingscode", "CodeOpleiding", "NaamOpleiding", "NaamFaculteit", "CodeFaculteit"]
-ASSETS = ("enrolment_enriched", "cohort", "exam_grade")
 
 
 def convert_register(

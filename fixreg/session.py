@@ -7,7 +7,6 @@ A private folder is created only when that setting is absent (local runs).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -68,15 +67,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/fixreg-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in local runs."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local_fs(path: str) -> bool:
-    return path.startswith("file:") or os.path.isabs(path)
-
-
 BYTES_PER_BUCKET = 128 * 1024 * 1024
 MAX_FILES_TO_SIZE = 2000
 
