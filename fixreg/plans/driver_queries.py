@@ -532,6 +532,15 @@ def retention_flags(spark, d):
                                          "SwitchBinnenInstelling"))
 
 
+def cohort_hot_split(spark, d):
+    """The cohort with the hot-person split exercised: persons with more than
+    five yearly rows go through the broadcast branch, the rest through the
+    bucketed one; the result must equal the plain cohort."""
+    c = K.build_cohort(enriched(spark, d), hot_person_rows=5)
+    return norm(c.select(PGN, "StatusNa1Jaar", "UitvalEerstejaar", "PropedeuseIn1Jaar", "JaarTotEenDiploma",
+                         "Diplomajaar_DitDiploma"))
+
+
 def status_after_year1(spark, d):
     return norm(_cohort(spark, d).select(PGN, "StatusNa1Jaar"))
 
@@ -660,6 +669,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "award_same_programme": award_same_programme,
     "retention_flags": retention_flags,
     "status_after_year1": status_after_year1,
+    "cohort_hot_split": cohort_hot_split,
     "cohort_full": cohort_full,
     "unpivot_grades": unpivot_grades,
     "attempt_and_kind": attempt_and_kind,

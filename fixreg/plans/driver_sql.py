@@ -334,6 +334,9 @@ SQL["retention_flags"] = COHORT + (
     "SELECT PersoonsgebondenNummer, UitvalEerstejaar, opleiding_gelijk, HerinschrijvingInstelling, "
     "SwitchBinnenInstelling FROM k15")
 SQL["status_after_year1"] = COHORT + "SELECT PersoonsgebondenNummer, StatusNa1Jaar FROM k15"
+SQL["cohort_hot_split"] = COHORT + (
+    "SELECT PersoonsgebondenNummer, StatusNa1Jaar, UitvalEerstejaar, PropedeuseIn1Jaar, JaarTotEenDiploma, "
+    "Diplomajaar_DitDiploma FROM k15")
 SQL["cohort_full"] = COHORT + (
     ", k16 AS (SELECT *, " + WITHIN + " FROM k15) "
     "SELECT Cohort, CohortType, TypeOpleidingNiveau AS TypeOpleiding, StatusNa1Jaar, count(*) AS students, "
