@@ -1,9 +1,11 @@
 """Student cohorts with first-year indicators.
 
 Input: the enriched enrolment table (one row per person, year, programme).
-Every join below is on the person id, so after the first exchange the
-remaining joins and windows reuse the same hash partitioning.  Each right
-side is unique per key by construction (``first_per_key``) except the
+Every join and window below is keyed by the person id.  ``build_cohort``
+writes the pruned input once as a table bucketed by person, so none of them
+shuffles again; persons with very many rows are split off and joined
+against broadcast per-person sides instead (see ``build_cohort``).  Each
+right side is unique per key by construction (``first_per_key``) except the
 second-year table, whose uniqueness is checked inside its join (J1).
 """
 
