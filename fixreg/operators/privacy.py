@@ -72,8 +72,9 @@ def crosswalk(
 ) -> DataFrame:
     """Permutation crosswalk ``(id, pseudo)`` over the distinct ids.
 
-    Fails on a null id (L15).  Pseudo ids are zero-padded to ``width``
-    without truncating longer ids.
+    Fails on a null id (L15) and when padding would make two pseudo ids
+    equal.  Pseudo ids are zero-padded to ``width`` without truncating
+    longer ids.
     """
     _check_salt(salt)
     require_columns(ids, [id_col], "crosswalk")
@@ -87,6 +88,12 @@ def crosswalk(
     # The second ranking reads the ids from the first one's checkpoint, so
     # the source tables are scanned and de-duplicated once.
     ids_once = by_id.select("__id")
+    # Padding may map a short id onto another id ("12345" → "0012345"); the
+    # pseudo ids would then not be unique.  Only ids shorter than ``width``
+    # can collide, so only they are checked (none in 12-digit registers).
+    short = ids_once.filter(F.length("__id") < width).select(zero_pad("__id", width).alias("__id"))
+    if short.join(ids_once, "__id", "left_semi").limit(1).count():
+        raise CheckFailed(f"crosswalk: zero-padding to {width} makes two {id_col} values equal")
     by_hash = global_rank(ids_once.withColumn("__h", salted_hash("__id", salt)), ["__h", "__id"], "__r")
     return by_id.join(by_hash.select("__r", F.col("__id").alias("__p")), "__r").select(
         F.col("__id").alias(id_col), zero_pad("__p", width).alias(pseudo_col)

@@ -65,3 +65,9 @@ def test_add_local_id(spark):
     dup = spark.createDataFrame([("1", "S1"), ("1", "S9")], "pgn_l string, studentnummer string")
     with pytest.raises(Exception, match="more than one row"):
         add_local_id(df, dup, "pgn", "pgn_l").collect()
+
+
+def test_crosswalk_padding_collision_fails(spark):
+    ids = spark.createDataFrame([("12345",), ("0012345",), ("99",)], "PersoonsgebondenNummer string")
+    with pytest.raises(Exception, match="zero-padding"):
+        crosswalk(ids, salt=SALT)
