@@ -71,3 +71,4 @@ def test_crosswalk_padding_collision_fails(spark):
     ids = spark.createDataFrame([("12345",), ("0012345",), ("99",)], "PersoonsgebondenNummer string")
     with pytest.raises(Exception, match="zero-padding"):
         crosswalk(ids, salt=SALT)
+
