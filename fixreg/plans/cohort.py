@@ -227,6 +227,9 @@ _CARRIED = ("Opleidingscode", "Opleidingsfase", "TypeOpleiding", "CrohoOnderdeel
 # A person with more enrolment rows than this is "hot" (a real student has a
 # few dozen at most; a placeholder id for unknown persons can have millions).
 HOT_PERSON_ROWS = 10_000
+# Below this much input no task can be overloaded by one person (a third of
+# it fits a single task), so the split is not worth its extra pass.
+SPLIT_MIN_BYTES = 1 << 30
 
 
 def hot_persons(base: DataFrame, threshold: int) -> DataFrame:
@@ -254,7 +257,8 @@ def _indicators(enr: DataFrame, broadcast: bool | None = None) -> DataFrame:
 
 
 def build_cohort(enr: DataFrame, *, observed_until: int | None = None, materialize: bool = True,
-                 keep: tuple[str, ...] = (), hot_person_rows: int | None = HOT_PERSON_ROWS) -> DataFrame:
+                 keep: tuple[str, ...] = (), hot_person_rows: int | None = HOT_PERSON_ROWS,
+                 split_min_bytes: int = SPLIT_MIN_BYTES) -> DataFrame:
     """The cohort table: K1 → K4 → K9–K12 → K6 → K13 → K7 → K8 → K14 → K15.
 
     With ``materialize`` (default) persons are split by size first:
@@ -266,7 +270,8 @@ def build_cohort(enr: DataFrame, *, observed_until: int | None = None, materiali
       task.  Their rows are written as they lie (no shuffle), and their
       per-person right sides (at most one row per person, or per person and
       programme, after map-side limits) are broadcast.  This branch is
-      skipped when no person is hot.
+      skipped when no person is hot, and the split is skipped when the input
+      files are smaller than ``split_min_bytes`` (size from file metadata).
 
     ``keep``: extra enrolment columns to carry through.
     """
@@ -274,8 +279,11 @@ def build_cohort(enr: DataFrame, *, observed_until: int | None = None, materiali
     if not materialize:
         out = _indicators(base)
     else:
-        from fixreg.session import scratch_path, write_bucketed
+        from fixreg.session import estimate_input_bytes, scratch_path, write_bucketed
 
+        size = estimate_input_bytes(base) if hot_person_rows is not None and split_min_bytes > 0 else None
+        if size is not None and size < split_min_bytes:
+            hot_person_rows = None
         if hot_person_rows is None:
             out = _indicators(write_bucketed(base, "cohort_input", PERSON))
         else:

@@ -536,7 +536,7 @@ def cohort_hot_split(spark, d):
     """The cohort with the hot-person split exercised: persons with more than
     five yearly rows go through the broadcast branch, the rest through the
     bucketed one; the result must equal the plain cohort."""
-    c = K.build_cohort(enriched(spark, d), hot_person_rows=5)
+    c = K.build_cohort(enriched(spark, d), hot_person_rows=5, split_min_bytes=0)
     return norm(c.select(PGN, "StatusNa1Jaar", "UitvalEerstejaar", "PropedeuseIn1Jaar", "JaarTotEenDiploma",
                          "Diplomajaar_DitDiploma"))
 

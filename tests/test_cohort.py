@@ -128,7 +128,7 @@ def test_cohort_plan_shuffles_once(spark):
 def test_hot_person_split_gives_same_cohort(spark):
     enr = spark.createDataFrame(ROWS, SCHEMA)
     plain = sorted(map(tuple, K.build_cohort(enr, hot_person_rows=None).collect()))
-    split = K.build_cohort(enr, hot_person_rows=2)  # F and G (three rows each) are "hot"
+    split = K.build_cohort(enr, hot_person_rows=2, split_min_bytes=0)  # F and G (three rows each) are "hot"
     assert sorted(map(tuple, split.select(*K.build_cohort(enr, hot_person_rows=None).columns).collect())) == plain
 
 
@@ -137,7 +137,7 @@ def test_hot_person_with_a_third_of_the_rows(spark):
     rows = [row("Z", 2020, prog=f"{34400 + p:05d}") for p in range(300)] + [row("Z", 2021)]
     rows += [r for p in range(300) for r in (row(f"P{p}", 2020), row(f"P{p}", 2021))]
     enr = spark.createDataFrame(rows, SCHEMA)
-    out = K.build_cohort(enr, hot_person_rows=50)
+    out = K.build_cohort(enr, hot_person_rows=50, split_min_bytes=0)
     z = [r for r in out.collect() if r["PersoonsgebondenNummer"] == "Z"]
     assert len(z) == 300 and out.count() == 600  # every intake row kept, none dropped
     assert sum(r["opleiding_gelijk"] for r in z) == 1  # only programme 34560 continues
