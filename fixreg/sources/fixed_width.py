@@ -35,9 +35,12 @@ def _cut(line: Column, start: int, width: int) -> Column:
     return F.substring(line, start, width)
 
 
-def garbage_of(line: Column, layout: Layout, offsets: str = "cumulative") -> Column:
-    """Non-blank text in the ``GARBAGE_WIDTH`` positions after the record."""
-    return cell(_cut(line, layout.garbage_start(offsets), GARBAGE_WIDTH))
+def garbage_of(line: Column, layout: Layout, offsets: str = "cumulative",
+               width: int | None = GARBAGE_WIDTH) -> Column:
+    """Non-blank text after the record (S4): in the ``width`` positions after
+    it (the register tool's 10-wide probe), or anywhere in the rest of the
+    line when ``width`` is None."""
+    return cell(_cut(line, layout.garbage_start(offsets), width if width is not None else 2**31 - 1))
 
 
 def parse_fixed_width(
@@ -52,6 +55,7 @@ def parse_fixed_width(
     keep: tuple[str, ...] = (),
     observation: Observation | None = None,
     na_values: tuple[str, ...] = (),
+    garbage_width: int | None = GARBAGE_WIDTH,
 ) -> DataFrame:
     """Cut a column of text lines into the layout's columns.
 
@@ -64,7 +68,9 @@ def parse_fixed_width(
       the value becomes null and is counted in ``observation`` (L4);
     * ``keep`` carries extra input columns (e.g. the source file) through;
     * ``na_values``: extra cell texts read as missing (pandas-compatible
-      sentinels such as ``NA``); by default only a blank cell is missing (L5).
+      sentinels such as ``NA``); by default only a blank cell is missing (L5);
+    * ``garbage_width``: how far after the record to look for undeclared
+      data; 10 as the register tool does, None for the whole rest of the line.
     """
     if on_garbage not in ("fail", "keep", "quarantine"):
         raise ValueError("on_garbage must be fail, keep or quarantine")
@@ -72,7 +78,7 @@ def parse_fixed_width(
     nonblank = lines.filter(F.length(F.btrim(line, F.lit(BLANKS))) > 0)
 
     starts = layout.starts(offsets)
-    garbage = garbage_of(line, layout, offsets)
+    garbage = garbage_of(line, layout, offsets, garbage_width)
     out_cols: list[Column] = [F.col(k) for k in keep]
     bad_flags: list[tuple[str, Column]] = []
     for spec, start in zip(layout.columns, starts):
@@ -110,10 +116,10 @@ def parse_fixed_width(
 
 
 def garbage_rows(lines: DataFrame, layout: Layout, *, line_col: str = LINE, offsets: str = "cumulative",
-                 keep: tuple[str, ...] = ()) -> DataFrame:
+                 keep: tuple[str, ...] = (), garbage_width: int | None = GARBAGE_WIDTH) -> DataFrame:
     """Records with undeclared trailing data, with their raw line (quarantine side)."""
     line = F.col(line_col)
-    g = garbage_of(line, layout, offsets)
+    g = garbage_of(line, layout, offsets, garbage_width)
     return lines.filter(g.isNotNull()).select(*[F.col(k) for k in keep], line.alias("record"),
                                               g.alias(GARBAGE_COLUMN))
 

@@ -43,6 +43,7 @@ def test_garbage_policies(spark):
     assert sum(r["GarbageColumn"] is None for r in kept) == 2  # far garbage not detected
     assert parse_fixed_width(df, LAY, on_garbage="quarantine").count() == 2
     assert garbage_rows(df, LAY).count() == 1
+    assert garbage_rows(df, LAY, garbage_width=None).count() == 2  # whole rest of the line
     with pytest.raises(Exception, match="data found after position 18"):
         parse_fixed_width(df, LAY, on_garbage="fail").collect()
 
