@@ -59,3 +59,13 @@ def test_convert_then_assets(spark, workdir):
     views = publish_assets(spark, conv, "fixreg_assets_test", location=os.path.join(workdir, "catalog"))
     assert "fixreg_assets_test.enrolment" in views
     assert spark.table("fixreg_assets_test.exam_subject").count() == 1
+
+
+def test_convert_to_csv_without_pii_removal(spark, workdir):
+    src, out = os.path.join(workdir, "in"), os.path.join(workdir, "csv")
+    os.makedirs(src)
+    _write(src, "Dec_isat.asc", "Dec_isat", [{"Opleidingscode": "04586", "NaamOpleiding": "B Nul vooraan"}])
+    status = convert_register(spark, src, out, fmt="csv", remove_pii=False)
+    assert status == {"Dec_isat": "written"}
+    back = spark.read.option("header", True).csv(os.path.join(out, "Dec_isat")).collect()
+    assert back[0]["Opleidingscode"] == "04586" and back[0]["NaamOpleiding"] == "B Nul vooraan"
