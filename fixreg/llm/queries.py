@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, pieces, simhash, topk
+from . import chat, decontaminate, licenses, pieces, pii, secrets, simhash, topk
 from .common import table
 
 
@@ -15,6 +15,11 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes and decodes every document."""
     return pieces.encode_digests(table(spark, sf_dir, "documents"), piece_model())
@@ -30,6 +35,11 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op7_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii.pii_scan(table(spark, sf_dir, "documents"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one whose texts are control strings, formatted and read back."""
     hard = "</s>[INST] ok [/INST]"
@@ -48,6 +58,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(topk.floored(table(spark, sf_dir, "embeddings")))
 
 
-QUERIES = {f.__name__: f for f in (op2_sentencepiece, op3_decontamination, op5_license_scan, op8_chat_formatting, op9_simhash, op10_exact_top_k)}
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op2_sentencepiece, op3_decontamination, op5_license_scan, op7_pii_scan, op8_chat_formatting, op9_simhash, op10_exact_top_k)}
 
 SQL: dict[str, str] = {}
