@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, pieces, pii, secrets, simhash, topk
+from . import chat, decontaminate, licenses, linededup, pieces, pii, secrets, simhash, topk, toxicity
 from .common import table
 
 
@@ -30,11 +30,21 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every line of 20 characters or more."""
+    return linededup.line_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence texts and notices of every document."""
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the labels that are not held out."""
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     return pii.pii_scan(table(spark, sf_dir, "documents"))
@@ -59,6 +69,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op2_sentencepiece, op3_decontamination, op5_license_scan, op7_pii_scan, op8_chat_formatting, op9_simhash, op10_exact_top_k)}
+    op1_secret_scan, op2_sentencepiece, op3_decontamination, op4_line_dedup, op5_license_scan, op6_toxicity, op7_pii_scan,
+    op8_chat_formatting, op9_simhash, op10_exact_top_k)}
 
 SQL: dict[str, str] = {}
