@@ -166,11 +166,13 @@ def member_flag(left: DataFrame, right: DataFrame, on: Keys, flag_col: str, *, n
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: Keys, *, null_safe: bool = True) -> DataFrame:
-    """Left rows whose key does not occur in ``right`` (J9, ``~isin``)."""
+    """Left rows whose key does not occur in ``right`` (J9, ``~isin``).
+
+    The right keys are de-duplicated first, as in ``member_flag``."""
     pairs = _pairs(on)
     rkeys = [r for _, r in pairs]
     tmp = {c: f"__aj{i}" for i, c in enumerate(rkeys)}
-    r = right.select(*[F.col(c).alias(tmp[c]) for c in rkeys])
+    r = right.select(*[F.col(c).alias(tmp[c]) for c in rkeys]).distinct()
     return left.join(r, _key_cond(pairs, tmp, null_safe), "left_anti")
 
 

@@ -7,10 +7,10 @@ Two modes for the person id:
 * ``permute``: a bijection of the id set onto itself, as the register's own
   tool produces (ledger L11).  The i-th id in id order gets the i-th id in
   salted-hash order.  Both orders need an exact global rank, computed without
-  a single-partition window: sort once (range partitioning), checkpoint the
-  sorted ids to the shared checkpoint folder so partition contents are fixed
-  even if executors are lost, count rows per partition, and add each row's
-  partition offset (a table with one row per partition, broadcast).
+  a single-partition window: sort once (range partitioning), write the sorted
+  ids with their place in the partition to the shared checkpoint folder, count
+  rows per partition, and add each row's partition offset (a table with one
+  row per partition, broadcast).
 
 The salt is a secret argument; it is never written with the output.
 """
@@ -24,11 +24,14 @@ from pyspark.sql import functions as F
 
 from fixreg.functions.exprs import fail_if, zero_pad
 from fixreg.operators.joins import CheckFailed, lookup_join, require_columns
+from fixreg.session import drop_scratch, write_scratch
 
 PERSON_ID = "PersoonsgebondenNummer"
 # Columns holding direct identifiers, blanked on export.
 SENSITIVE_COLUMNS = ("Onderwijsnummer", "Burgerservicenummer")
 PSEUDO_WIDTH = 7
+# Names of the scratch tables that hold raw ids.
+RANKING, CROSSWALK = "crosswalk-ranking", "crosswalk"
 
 
 def _check_salt(salt: str) -> None:
@@ -48,11 +51,12 @@ def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "rank") ->
     Equivalent to ``row_number() over (order by …)`` without funnelling all
     rows through one task.
     """
-    sorted_df = df.orderBy(*[F.col(o).asc_nulls_last() for o in order]).checkpoint(eager=True)
     pid = F.spark_partition_id()
-    local = sorted_df.select("*", pid.alias("__pid"),
-                             (F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)).alias("__idx"))
-    counts = sorted_df.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
+    idx = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
+    # A row's place in its partition is stored with it: the order is total, so
+    # a partition computed again after a loss has the same rows and places.
+    local = write_scratch(df.orderBy(*[F.col(o).asc_nulls_last() for o in order]).select("*", pid.alias("__pid"), idx.alias("__idx")), RANKING)
+    counts = local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # One row per partition: a cumulative sum over a table of that size is cheap.
     offsets = counts.select(
         "__pid",
@@ -75,6 +79,11 @@ def crosswalk(
     Fails on a null id (L15) and when padding would make two pseudo ids
     equal.  Pseudo ids are zero-padded to ``width`` without truncating
     longer ids.
+
+    The crosswalk is a scratch table in shared storage and names every person;
+    ``drop_scratch(spark, CROSSWALK)`` removes it once the pseudonymised
+    tables are written (``convert_register`` does).  The rankings behind it
+    are removed here.
     """
     _check_salt(salt)
     require_columns(ids, [id_col], "crosswalk")
@@ -95,9 +104,11 @@ def crosswalk(
     if short.join(ids_once, "__id", "left_semi").limit(1).count():
         raise CheckFailed(f"crosswalk: zero-padding to {width} makes two {id_col} values equal")
     by_hash = global_rank(ids_once.withColumn("__h", salted_hash("__id", salt)), ["__h", "__id"], "__r")
-    return by_id.join(by_hash.select("__r", F.col("__id").alias("__p")), "__r").select(
+    out = write_scratch(by_id.join(by_hash.select("__r", F.col("__id").alias("__p")), "__r").select(
         F.col("__id").alias(id_col), zero_pad("__p", width).alias(pseudo_col)
-    )
+    ), CROSSWALK)
+    drop_scratch(ids.sparkSession, RANKING)  # raw ids beside their salted hashes
+    return out
 
 
 def replace_id(df: DataFrame, xwalk: DataFrame, id_col: str = PERSON_ID, pseudo_col: str | None = None) -> DataFrame:

@@ -15,11 +15,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fixreg.operators.privacy import PERSON_ID, pseudonymise
+from fixreg.operators.privacy import CROSSWALK, PERSON_ID, pseudonymise
 from fixreg.plans.cohort import build_cohort
 from fixreg.plans.enrich import Lookups, enrich_enrolments
 from fixreg.plans.exams import build_exam_grades
-from fixreg.sinks import export_tables, publish_tables, publish_view, table_name, write_table
+from fixreg.session import drop_scratch
+from fixreg.sinks import export_tables, publish_tables, publish_view, table_folders, table_name, write_table
 from fixreg.sources.delimited import read_delimited
 from fixreg.sources.fixed_width import SOURCE_FILE, read_directory
 from fixreg.sources.layout import Layout
@@ -40,10 +41,12 @@ def convert_register(
     mode: str = "hash",
     layouts: dict[str, Layout] | None = None,
     on_garbage: str = "fail",
+    garbage_width: int | None = None,
 ) -> dict[str, str]:
     """Convert every recognised extract in ``source_dir``; returns a status
-    per table and per skipped input entry."""
-    scan = read_directory(spark, source_dir, layouts, typed=typed, on_garbage=on_garbage)
+    per table and per skipped input entry.  A table that cannot be converted
+    raises ``ExportFailed`` after the others are written."""
+    scan = read_directory(spark, source_dir, layouts, typed=typed, on_garbage=on_garbage, garbage_width=garbage_width)
     tables = dict(scan.tables)
     if remove_pii:
         people = {n: t for n, t in tables.items()
@@ -52,7 +55,10 @@ def convert_register(
             if not salt:
                 raise ValueError("remove_pii needs a secret salt")
             tables.update(pseudonymise(people, salt=salt, mode=mode))
-    status = export_tables(tables, target_dir, fmt)
+    try:
+        status = export_tables(tables, target_dir, fmt)
+    finally:
+        drop_scratch(spark, CROSSWALK)
     status.update({e: s for e, s in scan.status.items() if not s.startswith("read")})
     return status
 
@@ -66,12 +72,15 @@ def _code_list(spark: SparkSession, converted_dir: str, name: str) -> DataFrame:
     return _converted(spark, converted_dir, name).drop(SOURCE_FILE)
 
 
-def _first_with_prefix(spark: SparkSession, converted_dir: str, prefix: str) -> str | None:
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(converted_dir)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted(st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory())
-    return next((n for n in names if n.startswith(prefix)), None)
+def converted_tables(spark: SparkSession, converted_dir: str, prefix: str) -> DataFrame | None:
+    """All rows of the converted tables whose name begins with ``prefix`` (one
+    per year of delivery), by column name; None if there is none."""
+    out = None
+    for name in table_folders(spark, converted_dir):
+        if name.startswith(prefix):
+            df = _converted(spark, converted_dir, name)
+            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 def create_assets(
@@ -85,8 +94,8 @@ def create_assets(
     """Build and write the three analysis tables as Parquet; returns their paths."""
     out = assets_dir.rstrip("/")
     written: dict[str, str] = {}
-    enrolment_name = _first_with_prefix(spark, converted_dir, ENROLMENT_PREFIX)
-    if enrolment_name:
+    enrolments = converted_tables(spark, converted_dir, ENROLMENT_PREFIX)
+    if enrolments is not None:
         local = (read_delimited(spark, local_names_path, LOCAL_NAME_COLUMNS) if local_names_path else None)
         lookups = Lookups(
             _code_list(spark, converted_dir, "Dec_vopl"),
@@ -95,16 +104,19 @@ def create_assets(
             _code_list(spark, converted_dir, "Dec_ho_ISCED"),
             local,
         )
-        enriched = enrich_enrolments(_converted(spark, converted_dir, enrolment_name), lookups)
+        enriched = enrich_enrolments(enrolments, lookups)
         write_table(enriched, f"{out}/enrolment_enriched")
         written["enrolment_enriched"] = f"{out}/enrolment_enriched"
         stored = spark.read.parquet(f"{out}/enrolment_enriched")
-        write_table(build_cohort(stored, observed_until=observed_until), f"{out}/cohort")
+        try:
+            write_table(build_cohort(stored, observed_until=observed_until, stored=True), f"{out}/cohort")
+        finally:
+            drop_scratch(spark, "cohort-persons")
+            drop_scratch(spark, "cohort-awards")
         written["cohort"] = f"{out}/cohort"
-    exam_name = _first_with_prefix(spark, converted_dir, EXAM_PREFIX)
-    if exam_name:
-        grades = build_exam_grades(_converted(spark, converted_dir, exam_name),
-                                   _code_list(spark, converted_dir, "Dec_vooropl"))
+    exams = converted_tables(spark, converted_dir, EXAM_PREFIX)
+    if exams is not None:
+        grades = build_exam_grades(exams, _code_list(spark, converted_dir, "Dec_vooropl"))
         write_table(grades, f"{out}/exam_grade")
         written["exam_grade"] = f"{out}/exam_grade"
     return written
@@ -114,14 +126,11 @@ def publish_assets(spark: SparkSession, converted_dir: str, database: str, *, lo
                    replace_database: bool = False) -> list[str]:
     """Publish the converted tables to the catalog, with stable views
     ``enrolment`` and ``exam_subject`` over the year-specific tables."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(converted_dir)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted(st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory())
-    tables = {n: _converted(spark, converted_dir, n) for n in names if not n.startswith(("_", "."))}
+    names = table_folders(spark, converted_dir)
+    tables = {n: _converted(spark, converted_dir, n) for n in names}
     done = publish_tables(spark, tables, database, location=location, replace_database=replace_database)
     for view, prefix in (("enrolment", ENROLMENT_PREFIX), ("exam_subject", EXAM_PREFIX)):
-        source = next((n for n in names if n.startswith(prefix)), None)
+        source = [n for n in names if n.startswith(prefix)]
         if source:
             done.append(publish_view(spark, database, view, source))
     return done

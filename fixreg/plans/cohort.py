@@ -1,17 +1,12 @@
 """Student cohorts with first-year indicators.
 
 Input: the enriched enrolment table (one row per person, year, programme).
-Every join and window below is keyed by the person id.  ``build_cohort``
-writes the pruned input once as a table bucketed by person, so none of them
-shuffles again; persons with very many rows are split off and joined
-against broadcast per-person sides instead (see ``build_cohort``).  Each
-right side is unique per key by construction (``first_per_key``) except the
+Every join and window below is keyed by the person id.  Each right side is unique per key by construction (``first_per_key``) except the
 second-year table, whose uniqueness is checked inside its join (J1).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +15,7 @@ from fixreg.functions.codes import COHORT_TYPE_BY_FLAG, LEVEL_BY_HE_TYPE
 from fixreg.functions.exprs import as_int, eq, fail_if, flag, recode, truthy
 from fixreg.operators.first_per_key import first_per_key
 from fixreg.operators.joins import CheckFailed, lookup_join, require_columns
+from fixreg.session import write_scratch
 
 PERSON = "PersoonsgebondenNummer"
 YEAR = "Inschrijvingsjaar"
@@ -83,10 +79,10 @@ def bachelor_awards(enr: DataFrame) -> DataFrame:
     )
 
 
-def attach_second_year(cohort: DataFrame, year2: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def attach_second_year(cohort: DataFrame, year2: DataFrame) -> DataFrame:
     """K4 (J6): intake ⟕ second year on person; a person with two
     second-year rows fails the check instead of duplicating the intake row."""
-    return lookup_join(cohort, year2, [PERSON], suffix=YEAR2_SUFFIX, null_safe=False, broadcast=broadcast,
+    return lookup_join(cohort, year2, [PERSON], suffix=YEAR2_SUFFIX, null_safe=False,
                        name="second-year enrolment")
 
 
@@ -105,22 +101,29 @@ def add_retention_flags(df: DataFrame) -> DataFrame:
     })
 
 
-def add_propaedeutic_flags(df: DataFrame, propaedeutic: DataFrame, broadcast: bool | None = None) -> DataFrame:
-    """K6: propaedeutic in year 1 / within 2 years, judged on the diploma
-    row's own first year; drop-out with propaedeutic."""
-    p = propaedeutic.select(
+def propaedeutic_years(propaedeutic: DataFrame) -> DataFrame:
+    """Per person: was the propaedeutic diploma in its row's first year, or the second?"""
+    return propaedeutic.select(
         F.col(PERSON).alias("__pp"),
         eq(F.col("JaarPropedeuseDiploma"), F.col(FIRST_YEAR)).alias("__p1"),
         eq(F.col("JaarPropedeuseDiploma"), F.col(FIRST_YEAR) + 1).alias("__p2"),
     )
-    j = df.join(F.broadcast(p) if broadcast else p, F.col(PERSON) == F.col("__pp"), "left")
+
+
+def add_propaedeutic_flags(df: DataFrame, propaedeutic: DataFrame) -> DataFrame:
+    """K6: propaedeutic in year 1 / within 2 years, judged on the diploma
+    row's own first year; drop-out with propaedeutic."""
+    p = propaedeutic_years(propaedeutic)
+    return _propaedeutic_flags(df.join(p, F.col(PERSON) == F.col("__pp"), "left").drop("__pp"))
+
+
+def _propaedeutic_flags(df: DataFrame) -> DataFrame:
     p1 = truthy(F.col("__p1"))
-    return j.select(
-        *df.columns,
-        flag(p1).alias("PropedeuseIn1Jaar"),
-        flag(p1 | truthy(F.col("__p2"))).alias("PropedeuseIn2Jaar"),
-        flag((F.col("UitvalEerstejaar") == 1) & p1).alias("Uitval1JaarMetPropedeuse"),
-    )
+    return df.withColumns({
+        "PropedeuseIn1Jaar": flag(p1),
+        "PropedeuseIn2Jaar": flag(p1 | truthy(F.col("__p2"))),
+        "Uitval1JaarMetPropedeuse": flag((F.col("UitvalEerstejaar") == 1) & p1),
+    }).drop("__p1", "__p2")
 
 
 def add_reenrolled_with_propaedeutic(df: DataFrame) -> DataFrame:
@@ -131,15 +134,20 @@ def add_reenrolled_with_propaedeutic(df: DataFrame) -> DataFrame:
     )
 
 
-def add_first_award(df: DataFrame, awards: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def add_first_award(df: DataFrame, awards: DataFrame) -> DataFrame:
     """K7 (J7): first bachelor diploma of any programme; years to it; within-N flags.
 
     A diploma before the first year gives a negative count, which counts as
     "within" every threshold (ledger L23).
     """
-    first = first_per_key(awards, [PERSON], [AWARD_YEAR, AWARD_DATE, PROGRAMME, CURRENT_CODE])
-    j = lookup_join(df, first, [PERSON], suffix=ANY_AWARD_SUFFIX, null_safe=False, on_duplicate="ignore",
-                    broadcast=broadcast)
+    return _award_flags(lookup_join(df, first_award(awards), [PERSON], suffix=ANY_AWARD_SUFFIX, null_safe=False, on_duplicate="ignore"))
+
+
+def first_award(awards: DataFrame) -> DataFrame:
+    return first_per_key(awards, [PERSON], [AWARD_YEAR, AWARD_DATE, PROGRAMME, CURRENT_CODE])
+
+
+def _award_flags(df: DataFrame) -> DataFrame:
     years = F.col(AWARD_YEAR + ANY_AWARD_SUFFIX) - F.col(FIRST_YEAR)
     cols = {
         "BachelorDiploma": F.coalesce(F.col("Aantal" + ANY_AWARD_SUFFIX), F.lit(0)),
@@ -147,15 +155,21 @@ def add_first_award(df: DataFrame, awards: DataFrame, broadcast: bool | None = N
     }
     for n in WITHIN_YEARS:
         cols[f"EenDiplomaBinnen{n}jaar"] = flag(years <= n - 1)
-    return j.withColumns(cols)
+    return df.withColumns(cols)
+
 
+def first_award_by_programme(awards: DataFrame) -> DataFrame:
+    return first_per_key(awards, [PERSON, PROGRAMME], [AWARD_YEAR, AWARD_DATE, CURRENT_CODE])
 
-def add_same_programme_award(df: DataFrame, awards: DataFrame, broadcast: bool | None = None) -> DataFrame:
+
+def add_same_programme_award(df: DataFrame, awards: DataFrame) -> DataFrame:
     """K8 (J7): first bachelor diploma of the intake programme (null-safe on the
     programme; the person is never null here)."""
-    first = first_per_key(awards, [PERSON, PROGRAMME], [AWARD_YEAR, AWARD_DATE, CURRENT_CODE])
-    return lookup_join(df, first, [PERSON, PROGRAMME], suffix=SAME_AWARD_SUFFIX, on_duplicate="ignore",
-                       null_safe=[PROGRAMME], broadcast=broadcast)
+    return _with_same_programme(df, first_award_by_programme(awards))
+
+
+def _with_same_programme(df: DataFrame, first: DataFrame) -> DataFrame:
+    return lookup_join(df, first, [PERSON, PROGRAMME], suffix=SAME_AWARD_SUFFIX, on_duplicate="ignore", null_safe=[PROGRAMME])
 
 
 def add_status(df: DataFrame, column: str = "StatusNa1Jaar") -> DataFrame:
@@ -189,118 +203,55 @@ def censor_unobserved(df: DataFrame, observed_until: int) -> DataFrame:
     return df.withColumns({c: F.when(~late, F.col(c)) for c in cols if c in df.columns})
 
 
-def _prepared(enr: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def _prepared(enr: DataFrame) -> DataFrame:
     require_columns(enr, REQUIRED, "cohort input")
     untyped = [c for c in NUMERIC if not isinstance(enr.schema[c].dataType, T.NumericType)]
     if untyped:  # ledger L32: the untyped scan mode cannot feed the cohort
         raise CheckFailed(f"cohort input: numeric columns read as text: {untyped}")
-    cols = list(dict.fromkeys([c for c in enr.columns if c in set(REQUIRED) | set(keep) or c in _CARRIED]))
-    return enr.select(*cols).filter(fail_if(F.col(PERSON).isNull(), f"cohort input: {PERSON} is null"))
-
+    return enr.filter(fail_if(F.col(PERSON).isNull(), f"cohort input: {PERSON} is null"))
 
-def cohort_input(enr: DataFrame, *, materialize: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The columns the cohort needs, written once as a table bucketed by person.
-
-    With ``materialize`` the pruned input is written below the shared
-    checkpoint folder as a table bucketed (and sorted) by the person id:
-
-    * the enrichment runs once instead of once per cohort branch;
-    * a lost executor re-reads the table instead of recomputing the lineage;
-    * every later window and join on the person reads co-located buckets, so
-      none of them shuffles again.
-
-    Null persons are rejected.  Without ``materialize`` the plan stays lazy
-    and each branch shuffles by person on its own.
-    """
-    base = _prepared(enr, keep)
-    if not materialize:
-        return base
-    from fixreg.session import write_bucketed
 
-    return write_bucketed(base, "cohort_input", PERSON)
+def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
+    return df.select(PERSON, *[F.col(c).alias(c + suffix) for c in df.columns if c != PERSON])
 
 
-# Descriptive columns of the intake row carried into the cohort table.
-_CARRIED = ("Opleidingscode", "Opleidingsfase", "TypeOpleiding", "CrohoOnderdeel", "NaamOpleidingCroho",
-            "SoortDiploma", "Vooropleiding", "HoogsteVooropleiding", "Geslacht")
+def person_facts(enr: DataFrame) -> DataFrame:
+    """What the cohort takes per person: second year (its uniqueness checked,
+    J1), propaedeutic, first award.  One row per person of the intake, so no
+    person is hot here: the intake's persons are de-duplicated map-side."""
+    facts = intake(enr).select(PERSON).distinct()
+    facts = lookup_join(facts, _suffixed(second_year(enr), YEAR2_SUFFIX), [PERSON], null_safe=False, name="second-year enrolment")
+    facts = facts.join(propaedeutic_years(first_propaedeutic(enr)), F.col(PERSON) == F.col("__pp"), "left").drop("__pp")
+    return lookup_join(facts, _suffixed(first_award(bachelor_awards(enr)), ANY_AWARD_SUFFIX), [PERSON], null_safe=False, on_duplicate="ignore")
 
-# A person with more enrolment rows than this is "hot" (a real student has a
-# few dozen at most; a placeholder id for unknown persons can have millions).
-HOT_PERSON_ROWS = 10_000
-# Below this much input no task can be overloaded by one person (a third of
-# it fits a single task), so the split is not worth its extra pass.
-SPLIT_MIN_BYTES = 1 << 30
 
+def _indicators(enr: DataFrame, materialize: bool) -> DataFrame:
+    keep = write_scratch if materialize else lambda df, _: df
+    facts, same = keep(person_facts(enr), "cohort-persons"), keep(first_award_by_programme(bachelor_awards(enr)), "cohort-awards")
+    base = intake(enr).join(facts, PERSON, "left")
+    base = add_reenrolled_with_propaedeutic(_propaedeutic_flags(add_retention_flags(base)))
+    return finalize(add_status(_with_same_programme(_award_flags(base), same)))
 
-def hot_persons(base: DataFrame, threshold: int) -> DataFrame:
-    """Persons with more than ``threshold`` rows, checkpointed.
 
-    The count is aggregated map-side first, so a hot person costs one row per
-    map task.  The result has at most ``rows / threshold`` entries — the
-    size bound that makes broadcasting it safe."""
-    from fixreg.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(base.sparkSession)
-    counts = base.groupBy(PERSON).agg(F.count(F.lit(1)).alias("__rows"))
-    return counts.filter(F.col("__rows") > threshold).select(PERSON).checkpoint(eager=True)
-
-
-def _indicators(enr: DataFrame, broadcast: bool | None = None) -> DataFrame:
-    base = attach_second_year(intake(enr), second_year(enr), broadcast=broadcast)
-    base = add_retention_flags(base)
-    base = add_propaedeutic_flags(base, first_propaedeutic(enr), broadcast=broadcast)
-    base = add_reenrolled_with_propaedeutic(base)
-    awards = bachelor_awards(enr)
-    base = add_first_award(base, awards, broadcast=broadcast)
-    base = add_same_programme_award(base, awards, broadcast=broadcast)
-    return finalize(add_status(base))
-
-
-def build_cohort(enr: DataFrame, *, observed_until: int | None = None, materialize: bool = True,
-                 keep: tuple[str, ...] = (), hot_person_rows: int | None = HOT_PERSON_ROWS,
-                 split_min_bytes: int = SPLIT_MIN_BYTES) -> DataFrame:
+def build_cohort(enr: DataFrame, *, observed_until: int | None = None, materialize: bool = True, stored: bool = False) -> DataFrame:
     """The cohort table: K1 → K4 → K9–K12 → K6 → K13 → K7 → K8 → K14 → K15.
 
-    With ``materialize`` (default) persons are split by size first:
-
-    * ordinary persons go through the person-bucketed table, after which no
-      join or window shuffles;
-    * hot persons (more than ``hot_person_rows`` rows) are not co-located —
-      one of them could hold a third of all rows and would become a single
-      task.  Their rows are written as they lie (no shuffle), and their
-      per-person right sides (at most one row per person, or per person and
-      programme, after map-side limits) are broadcast.  This branch is
-      skipped when no person is hot, and the split is skipped when the input
-      files are smaller than ``split_min_bytes`` (size from file metadata).
-
-    ``keep``: extra enrolment columns to carry through.
+    Every column of the intake row is carried, and the indicators are added.
+    With ``materialize`` (default) the input (unless it is ``stored`` already)
+    and the two right sides are written to the scratch folder in shared
+    storage: the enrichment runs once instead of once per branch, a lost
+    executor costs a re-read, and the intake meets each right side in a plain
+    join of two shuffled tables.  ``drop_scratch`` removes the tables once the
+    cohort is written.
+
+    A person with very many rows stays cheap: the right sides hold one row
+    per person (or person and programme) and are limited map-side before the
+    shuffle, and the skew split of the join divides the person's intake rows.
     """
-    base = _prepared(enr, keep)
-    if not materialize:
-        out = _indicators(base)
-    else:
-        from fixreg.session import estimate_input_bytes, scratch_path, write_bucketed
-
-        size = estimate_input_bytes(base) if hot_person_rows is not None and split_min_bytes > 0 else None
-        if size is not None and size < split_min_bytes:
-            hot_person_rows = None
-        if hot_person_rows is None:
-            out = _indicators(write_bucketed(base, "cohort_input", PERSON))
-        else:
-            # The count, the bucketed write and the hot rows' write all read
-            # one computation of the input (a lost block is recomputed from
-            # its lineage); it is released once both tables are written.
-            base = base.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                hot = hot_persons(base, hot_person_rows)
-                ordinary = base.join(F.broadcast(hot), PERSON, "left_anti")
-                out = _indicators(write_bucketed(ordinary, "cohort_input", PERSON))
-                if not hot.isEmpty():
-                    path = scratch_path(base.sparkSession, "cohort-hot")
-                    base.join(F.broadcast(hot), PERSON, "left_semi").write.parquet(path)
-                    out = out.unionByName(_indicators(base.sparkSession.read.parquet(path), broadcast=True))
-            finally:
-                base.unpersist()
+    base = _prepared(enr)
+    if materialize and not stored:
+        base = write_scratch(base, "cohort-input")
+    out = _indicators(base, materialize)
     if observed_until is not None:
         out = censor_unobserved(out, observed_until)
     return out

@@ -7,10 +7,11 @@ A private folder is created only when that setting is absent (local runs).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings used by tests and bench.py.  AQE re-plans joins and
 # coalesces/splits shuffle partitions at run time; the UI stays off.
@@ -21,11 +22,8 @@ LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # A join whose keys include the bucketing/partitioning key reuses that
-    # partitioning instead of reshuffling on all of its keys.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
 }
 
 
@@ -45,8 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Uses the context's checkpoint dir or ``spark.checkpoint.dir``.  Only a
     local-mode session (tests, bench) gets a private folder when neither is
-    set; on a cluster a machine-local folder would not survive executor
-    loss, so the setting is required there.
+    set; on a cluster (``local-cluster`` too) the setting is required.  What
+    the cluster names there is taken as shared, whatever its scheme.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,7 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         conf_dir = tempfile.mkdtemp(prefix="fixreg-ckpt-")
     sc.setCheckpointDir(conf_dir)
@@ -67,61 +65,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/fixreg-{name}-{uuid.uuid4().hex[:12]}"
 
 
-BYTES_PER_BUCKET = 128 * 1024 * 1024
-MAX_FILES_TO_SIZE = 2000
-
-
-def estimate_input_bytes(df) -> int | None:
-    """Bytes of the files ``df`` reads (file-system metadata), or None when
-    the file list is too long to size cheaply or unknown."""
-    files = df.inputFiles()
-    if not files or len(files) > MAX_FILES_TO_SIZE:
-        return None
-    sc = df.sparkSession.sparkContext
-    conf = sc._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        p = sc._jvm.org.apache.hadoop.fs.Path(f)
-        total += int(p.getFileSystem(conf).getFileStatus(p).getLen())
-    return total
-
-
-def bucket_count(df) -> int:
-    """Buckets for a work table: about ``BYTES_PER_BUCKET`` of input each, at
-    least the cluster's parallelism, at most ``spark.sql.shuffle.partitions``."""
-    spark = df.sparkSession
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    least = min(most, spark.sparkContext.defaultParallelism)
-    size = estimate_input_bytes(df)
-    if size is None:
-        return most
-    return max(least, min(most, -(-size // BYTES_PER_BUCKET)))
-
-
-def write_bucketed(df, name: str, key: str, buckets: int | None = None):
-    """Write ``df`` as a table bucketed and sorted by ``key`` below the shared
-    checkpoint folder and return the table.
-
-    Reading it back gives Spark the hash partitioning on ``key``: joins and
-    windows on ``key`` between reads of the table need no exchange.  The
-    write cuts the lineage; the files are in shared storage, so a lost
-    executor costs a re-read, not a recomputation.
-    """
-    spark = df.sparkSession
-    n = buckets or bucket_count(df)
-    path = scratch_path(spark, name)
-    table = f"{work_database(spark)}.{name}_{uuid.uuid4().hex[:12]}"
-    (df.repartition(n, key).write.mode("overwrite").format("parquet")
-     .bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table))
-    return spark.table(table)
+_SCRATCH: dict[str, str] = {}  # path → name of the tables written and not yet dropped
+
+
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table below the shared checkpoint folder.
+
+    The write cuts the lineage; ``drop_scratch`` removes the table."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    _SCRATCH[path] = name
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-WORK_DATABASE = "fixreg_work"
+def drop_scratch(spark: SparkSession, name: str | None = None) -> None:
+    """Remove the scratch tables called ``name`` (all, if None)."""
+    for path in [p for p, n in _SCRATCH.items() if name in (None, n)]:
+        remove_path(spark, path)
+        del _SCRATCH[path]
 
 
-def work_database(spark: SparkSession) -> str:
-    """Catalog database for intermediate tables, located in the shared
-    checkpoint folder (never in a local warehouse folder)."""
-    location = ensure_checkpoint_dir(spark).rstrip("/") + "/fixreg-work-db"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {WORK_DATABASE} LOCATION '{location}'")
-    return WORK_DATABASE
+def remove_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

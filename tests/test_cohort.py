@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixreg.plans import cohort as K
 
@@ -115,30 +116,31 @@ def test_observed_until_censors(spark):
     assert out["D"]["UitvalEerstejaar"] is None
 
 
-def test_cohort_plan_shuffles_once(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_every_intake_column_is_carried(spark):
+    enr = spark.createDataFrame(ROWS, SCHEMA).withColumn("Iets", F.lit("x"))
+    out = K.build_cohort(enr)
+    assert set(enr.columns) <= set(out.columns)
+
+
+def test_hot_person_is_split_and_nothing_is_broadcast_by_force(spark):
+    # person "Z" is enrolled in 20,000 programmes in its first year: a third of all rows
+    n = 20_000
+    base = spark.createDataFrame([row("Z", 2020)], SCHEMA)
+    ids = spark.range(2 * n).select(F.concat(F.lit("P"), F.expr("id div 2")).alias("p"), (F.lit(2020) + F.col("id") % 2).alias("y"))
+    others = base.drop("PersoonsgebondenNummer", "Inschrijvingsjaar").crossJoin(ids).withColumnsRenamed({"p": "PersoonsgebondenNummer", "y": "Inschrijvingsjaar"})
+    hot = base.drop("opleiding").crossJoin(spark.range(n).select(F.lpad(F.col("id").cast("string"), 5, "0").alias("opleiding")))
+    enr = others.select(base.columns).unionByName(hot.select(base.columns)).unionByName(spark.createDataFrame([row("Z", 2021)], SCHEMA))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
-        enr = spark.createDataFrame(ROWS, SCHEMA)
-        plan = K.build_cohort(enr)._jdf.queryExecution().executedPlan().toString()
-        assert "Exchange hashpartitioning" not in plan  # buckets are co-located
+        out = K.build_cohort(enr.repartition(6))
+        assert out.count() == 2 * n
+        out = out.select("PersoonsgebondenNummer", "StatusNa1Jaar")
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan and "BroadcastHashJoin" not in plan
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_hot_person_split_gives_same_cohort(spark):
-    enr = spark.createDataFrame(ROWS, SCHEMA)
-    plain = sorted(map(tuple, K.build_cohort(enr, hot_person_rows=None).collect()))
-    split = K.build_cohort(enr, hot_person_rows=2, split_min_bytes=0)  # F and G (three rows each) are "hot"
-    assert sorted(map(tuple, split.select(*K.build_cohort(enr, hot_person_rows=None).columns).collect())) == plain
-
-
-def test_hot_person_with_a_third_of_the_rows(spark):
-    # person "Z" is enrolled in 300 programmes in its first year and once in year 2
-    rows = [row("Z", 2020, prog=f"{34400 + p:05d}") for p in range(300)] + [row("Z", 2021)]
-    rows += [r for p in range(300) for r in (row(f"P{p}", 2020), row(f"P{p}", 2021))]
-    enr = spark.createDataFrame(rows, SCHEMA)
-    out = K.build_cohort(enr, hot_person_rows=50, split_min_bytes=0)
-    z = [r for r in out.collect() if r["PersoonsgebondenNummer"] == "Z"]
-    assert len(z) == 300 and out.count() == 600  # every intake row kept, none dropped
-    assert sum(r["opleiding_gelijk"] for r in z) == 1  # only programme 34560 continues
-    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+        for k in conf:
+            spark.conf.unset(k)

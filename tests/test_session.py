@@ -1,6 +1,8 @@
 """Checkpoint-folder policy: shared folder from the session; a private one
 only in local mode; a cluster without the setting is refused."""
 
+import os
+
 import pytest
 
 from fixreg.session import ensure_checkpoint_dir
@@ -43,3 +45,18 @@ def test_local_gets_private_folder():
 def test_cluster_without_setting_is_refused():
     with pytest.raises(RuntimeError, match="shared folder"):
         ensure_checkpoint_dir(_Spark(_SC("spark://host:7077")))
+
+
+def test_local_cluster_counts_as_a_cluster():
+    with pytest.raises(RuntimeError, match="shared folder"):
+        ensure_checkpoint_dir(_Spark(_SC("local-cluster[2,1,1024]")))
+
+
+def test_scratch_tables_are_dropped(spark):
+    from fixreg import session
+
+    df = session.write_scratch(spark.range(5), "probe")
+    path = next(p for p, n in session._SCRATCH.items() if n == "probe")
+    assert df.count() == 5
+    session.drop_scratch(spark, "probe")
+    assert not os.path.exists(path.removeprefix("file:")) and path not in session._SCRATCH

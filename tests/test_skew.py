@@ -59,3 +59,17 @@ def test_exam_grades_hot_person(spark):
         key = f"{i % 7:04d}"
         best[key] = max(best.get(key, 0), i % 9 + 1)
     assert {r["VakCode"]: r["Cijfer"] for r in out if r["SoortExamen"] == "CSE"} == best
+
+
+def test_anti_join_hot_right_key_is_deduplicated_before_the_shuffle(spark):
+    from fixreg.operators.joins import anti_join
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        right = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k")
+        out = anti_join(spark.range(4000).toDF("k"), right, ["k"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti" in plan and plan.count("HashAggregate(keys=[") == 2  # partial and final, over the right keys
+        assert out.count() == 4000 - 2000 - 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
