@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from fixreg.functions.exprs import BLANKS, cell
 from fixreg.sources.fixed_width import ENCODING, list_inputs
-from fixreg.sources.layout import GARBAGE_WIDTH, Layout, layouts_in
+from fixreg.sources.layout import Layout, layouts_in
 
 MISSING = "❌"
 
@@ -39,7 +39,10 @@ def feed_report(spark: SparkSession, source_dir: str, layouts: dict[str, Layout]
     """
     layouts = layouts or layouts_in()
     entries = list_inputs(spark, source_dir, list(layouts))
-    base = source_dir.rstrip("/")
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(source_dir)
+    root = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(root)
+    base = root.toUri().getPath().rstrip("/") + "/"
     ent_schema = T.StructType([
         T.StructField("entry", T.StringType()),
         T.StructField("layout", T.StringType()),
@@ -52,13 +55,16 @@ def feed_report(spark: SparkSession, source_dir: str, layouts: dict[str, Layout]
     if readable:
         text = spark.read.text(readable)
         line = F.decode(F.col("value").cast("binary"), encoding)
-        rel = F.substring_index(F.col("_metadata.file_path"), base.split(":", 1)[-1] + "/", -1)
-        lines = text.select(F.substring_index(rel, "/", 1).alias("entry"), line.alias("line"))
+        # The file's path without scheme and host, as the root's; the reader gives it URL-encoded.
+        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        path = F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+        inside = F.substr(path, F.lit(len(base) + 1))
+        lines = text.select(F.substring_index(inside, "/", 1).alias("entry"), line.alias("line"))
         lines = lines.filter(F.length(F.btrim("line", F.lit(BLANKS))) > 0)
         widths = ent.join(lay, "layout").select("entry", "record_width")
-        probe = cell(F.substr(F.col("line"), F.col("record_width") + 1, F.lit(GARBAGE_WIDTH)))
+        probe = cell(F.substr(F.col("line"), F.col("record_width") + 1, F.lit(2**31 - 1)))
         stats = (
-            lines.join(F.broadcast(widths), "entry", "left")  # one row per entry: bounded by file count
+            lines.join(widths, "entry", "left")  # one row per entry
             .groupBy("entry")
             .agg(
                 F.count(F.lit(1)).alias("records"),

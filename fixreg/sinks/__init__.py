@@ -9,7 +9,10 @@ import logging
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from fixreg.session import remove_path
 
 log = logging.getLogger(__name__)
 
@@ -43,26 +46,56 @@ def table_name(name: str) -> str:
     return re.sub(r"\W", "_", name)
 
 
+class ExportFailed(RuntimeError):
+    """Some tables could not be exported; ``status`` has every table's outcome."""
+
+    def __init__(self, status: dict[str, str]):
+        self.status = status
+        super().__init__("; ".join(f"{n}: {s}" for n, s in status.items() if s.startswith("failed")))
+
+
 def export_tables(tables: Mapping[str, DataFrame], target_dir: str, fmt: str = "parquet") -> dict[str, str]:
-    """Write every table, skip empty ones, go on after a failure.
+    """Write every table, skip empty ones; returns a status per table.
 
-    Returns a status per table.  Each table is one write job; the emptiness
-    probe reads at most one row.
+    Each table is computed once: the write counts its rows.  An empty table's
+    target is removed.  A table that fails leaves no target either; the others
+    are still written, then ``ExportFailed`` names what failed and why.
     """
     status: dict[str, str] = {}
     for name, df in tables.items():
+        path = f"{target_dir.rstrip('/')}/{table_name(name)}"
+        rows = Observation()
         try:
-            if df.isEmpty():
-                status[name] = "empty, skipped"
-                continue
-            write_table(df, f"{target_dir.rstrip('/')}/{table_name(name)}", fmt)
-            status[name] = "written"
-        except Exception as exc:  # one bad table must not stop the others
+            write_table(df.observe(rows, F.count(F.lit(1)).alias("rows")), path, fmt)
+        except Exception as exc:  # raised below, after the other tables
             log.warning("export of %s failed: %s", name, exc)
-            status[name] = f"failed: {type(exc).__name__}"
+            status[name] = f"failed: {type(exc).__name__}: {str(exc).strip().splitlines()[0][:300] if str(exc).strip() else ''}"
+            remove_path(df.sparkSession, path)
+            continue
+        if rows.get.get("rows", 0):
+            status[name] = "written"
+        else:
+            remove_path(df.sparkSession, path)
+            status[name] = "empty, skipped"
+    if any(s.startswith("failed") for s in status.values()):
+        raise ExportFailed(status)
     return status
 
 
+def export_folder(spark: SparkSession, source_dir: str, target_dir: str, fmt: str = "csv") -> dict[str, str]:
+    """W3, folder to folder: every Parquet table below ``source_dir`` in another format."""
+    names = table_folders(spark, source_dir)
+    return export_tables({n: spark.read.parquet(f"{source_dir.rstrip('/')}/{n}") for n in names}, target_dir, fmt)
+
+
+def table_folders(spark: SparkSession, directory: str) -> list[str]:
+    """Names of the tables (folders) below a directory, sorted; hidden ones are left out."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory())
+    return [n for n in names if not n.startswith(("_", "."))]
+
+
 def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], database: str, *,
                    location: str | None = None, replace_database: bool = False) -> list[str]:
     """One catalog table per DataFrame (names normalised).
@@ -86,8 +119,13 @@ def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], databas
     return written
 
 
-def publish_view(spark: SparkSession, database: str, view: str, table: str) -> str:
-    """Stable view name over a year-specific table."""
+def publish_view(spark: SparkSession, database: str, view: str, table: str | list[str]) -> str:
+    """Stable view name over a year-specific table, or over several (all
+    their rows by column name; a column that a table lacks is null in its rows)."""
     full = f"{database}.{table_name(view)}"
-    spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT * FROM {database}.{table_name(table)}")
+    tables = [table] if isinstance(table, str) else list(table)
+    own = {t: spark.table(f"{database}.{table_name(t)}").columns for t in tables}
+    columns = list(dict.fromkeys(c for cols in own.values() for c in cols))
+    parts = [f"SELECT {', '.join(f'`{c}`' if c in own[t] else f'NULL AS `{c}`' for c in columns)} FROM {database}.{table_name(t)}" for t in tables]
+    spark.sql(f"CREATE OR REPLACE VIEW {full} AS {' UNION ALL '.join(parts)}")
     return full

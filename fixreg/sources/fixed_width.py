@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from fixreg.functions.converters import get_converter
 from fixreg.functions.exprs import BLANKS, cell, fail_if
-from fixreg.sources.layout import GARBAGE_COLUMN, GARBAGE_WIDTH, Layout, layouts_in, resolve_layout
+from fixreg.sources.layout import GARBAGE_COLUMN, Layout, layouts_in, resolve_layout
+from fixreg.sources.tables import spread
 
 LINE = "__line"
 SOURCE_FILE = "source_file"
@@ -36,10 +37,10 @@ def _cut(line: Column, start: int, width: int) -> Column:
 
 
 def garbage_of(line: Column, layout: Layout, offsets: str = "cumulative",
-               width: int | None = GARBAGE_WIDTH) -> Column:
-    """Non-blank text after the record (S4): in the ``width`` positions after
-    it (the register tool's 10-wide probe), or anywhere in the rest of the
-    line when ``width`` is None."""
+               width: int | None = None) -> Column:
+    """Non-blank text after the record (S4): anywhere in the rest of the line,
+    or in the ``width`` positions after it (the register tool's probe has
+    ``GARBAGE_WIDTH``)."""
     return cell(_cut(line, layout.garbage_start(offsets), width if width is not None else 2**31 - 1))
 
 
@@ -55,7 +56,7 @@ def parse_fixed_width(
     keep: tuple[str, ...] = (),
     observation: Observation | None = None,
     na_values: tuple[str, ...] = (),
-    garbage_width: int | None = GARBAGE_WIDTH,
+    garbage_width: int | None = None,
 ) -> DataFrame:
     """Cut a column of text lines into the layout's columns.
 
@@ -69,8 +70,8 @@ def parse_fixed_width(
     * ``keep`` carries extra input columns (e.g. the source file) through;
     * ``na_values``: extra cell texts read as missing (pandas-compatible
       sentinels such as ``NA``); by default only a blank cell is missing (L5);
-    * ``garbage_width``: how far after the record to look for undeclared
-      data; 10 as the register tool does, None for the whole rest of the line.
+    * ``garbage_width``: how far after the record to look for undeclared data;
+      by default to the end of the line, 10 positions as the register tool does.
     """
     if on_garbage not in ("fail", "keep", "quarantine"):
         raise ValueError("on_garbage must be fail, keep or quarantine")
@@ -116,7 +117,7 @@ def parse_fixed_width(
 
 
 def garbage_rows(lines: DataFrame, layout: Layout, *, line_col: str = LINE, offsets: str = "cumulative",
-                 keep: tuple[str, ...] = (), garbage_width: int | None = GARBAGE_WIDTH) -> DataFrame:
+                 keep: tuple[str, ...] = (), garbage_width: int | None = None) -> DataFrame:
     """Records with undeclared trailing data, with their raw line (quarantine side)."""
     line = F.col(line_col)
     g = garbage_of(line, layout, offsets, garbage_width)
@@ -125,35 +126,21 @@ def garbage_rows(lines: DataFrame, layout: Layout, *, line_col: str = LINE, offs
 
 
 def read_fixed_width(spark: SparkSession, paths: str | list[str], layout: Layout, *,
-                     encoding: str = ENCODING, with_source: bool = False, **kwargs) -> DataFrame:
+                     encoding: str = ENCODING, with_source: bool = False, spread_lines: bool = False, **kwargs) -> DataFrame:
     """Read fixed-width text files (S1/S2): latin1 lines → typed columns.
 
-    Plain text is split by Spark into parallel tasks.  A file of a codec
-    that cannot be split (e.g. gzip) arrives as one partition; its lines are
-    then spread over the cluster before parsing (see ``sources.tables.spread``).
+    Plain text is split by Spark into parallel tasks.  A file of a codec that
+    cannot be split (e.g. gzip) arrives as one partition; ``spread_lines``
+    deals its lines over the cluster before parsing.
     """
     raw = spark.read.text(paths)
     lines = decode_lines(raw, encoding, keep_source=with_source)
-    lines = _spread_if_unsplit(spark, lines, paths)
+    if spread_lines:
+        lines = spread(lines)
     keep = (SOURCE_FILE,) if with_source else ()
     return parse_fixed_width(lines, layout, keep=keep + tuple(kwargs.pop("keep", ())), **kwargs)
 
 
-def _spread_if_unsplit(spark: SparkSession, lines: DataFrame, paths: str | list[str]) -> DataFrame:
-    """Plain text is split by Spark itself; only files of a non-splittable
-    codec (one task per file, whatever its size) are spread."""
-    from fixreg.sources.tables import spread
-
-    plist = [paths] if isinstance(paths, str) else list(paths)
-    if any(p.lower().endswith(UNSPLITTABLE) for p in plist):
-        return spread(lines)
-    return lines
-
-
-# Codecs whose files Spark reads in a single task.
-UNSPLITTABLE = (".gz", ".zst", ".lz4", ".snappy", ".deflate")
-
-
 @dataclass
 class InputEntry:
     """One top-level entry of an input folder: a file or a folder of parts."""

@@ -25,7 +25,8 @@ log = logging.getLogger(__name__)
 
 LAYOUT_DIR = Path(__file__).parent / "layouts"
 
-# Width of the probe that looks for undeclared data after the record.
+# Width of the register tool's probe for undeclared data after the record (S4),
+# for callers that ask for it; by default the whole rest of the line is looked at.
 GARBAGE_WIDTH = 10
 GARBAGE_COLUMN = "GarbageColumn"
 

@@ -1,12 +1,4 @@
-"""Parquet tables (S8) with a guard against under-partitioned scans.
-
-A Parquet file with a single row group, or a non-splittable file, is read
-by one task, and everything before the first shuffle then runs on one core.
-``read_table`` spreads such a scan over the cluster's default parallelism
-with a round-robin repartition.  Large inputs (many files or row groups)
-already have at least that many splits and are left untouched, so no
-shuffle is added at scale.
-"""
+"""Parquet tables (S8), and an explicit spread for scans that Spark cannot split."""
 
 from __future__ import annotations
 
@@ -21,19 +13,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(want) if have < want else df
 
 
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a file or folder from file-system metadata."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
-
-
 def read_table(spark: SparkSession, path: str, *, min_partitions: int | None = None) -> DataFrame:
-    """Read Parquet; spread the scan only if the input is larger than one
-    split's open cost yet arrives in fewer partitions than the cluster has
-    cores (an unsplittable row group).  Small tables are left alone."""
+    """Read Parquet; with ``min_partitions``, spread a scan that arrives in
+    fewer partitions (a file with one large row group)."""
     df = spark.read.parquet(path)
-    open_cost = int(spark.conf.get("spark.sql.files.openCostInBytes", "4194304").rstrip("bB") or 4194304)
-    if input_bytes(spark, path) <= open_cost:
-        return df
-    return spread(df, min_partitions)
+    return spread(df, min_partitions) if min_partitions else df
