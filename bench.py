@@ -15,6 +15,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import Observation  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from fixreg.plans import driver_queries as Q  # noqa: E402
@@ -41,7 +42,8 @@ def main() -> None:
             "fwf_parse_orders": lambda: read_fixed_width(spark, fwf, Q.ORDERS_LAYOUT),
             "enriched_enrolments": lambda: Q.enriched_enrolments(spark, d),
             "cohort_full": lambda: Q.cohort_full(spark, d),
-            "cohort_table": lambda: Q._cohort(spark, d),
+            "feed_report": lambda: Q.feed_report_query(spark, d),
+            "sink_parquet": lambda: Q.sink_parquet(spark, d),
             "exam_grades_last_attempt": lambda: Q.exam_grades(spark, d),
             "pseudonymise_permute": lambda: Q.pseudonymise_two_tables(spark, d),
             "pseudonymise_hash": lambda: Q.pseudonymise_hash(spark, d),
@@ -58,11 +60,13 @@ def main() -> None:
             run(build())
     run(V.table(spark, sf_dir, "orders").select(F.count(F.lit(1))))
 
-    times = {}
+    times, rows = {}, {}
     for name, build in workloads(sf_dir, fwf_dir).items():
         t0 = time.perf_counter()
-        run(build())
+        seen = Observation()
+        run(build().observe(seen, F.count(F.lit(1)).alias("rows")))
         times[name] = round(time.perf_counter() - t0, 3)
+        rows[name] = seen.get["rows"]
     total = round(sum(times.values()), 3)
     fwf_rows = spark.read.text(fwf_dir).count()
     print(json.dumps({
@@ -70,6 +74,7 @@ def main() -> None:
         "value": total,
         "unit": "sec",
         "queries": times,
+        "rows": rows,
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "cpus": cpus,
         "fwf_parse_rows_per_sec": round(fwf_rows / times["fwf_parse_orders"]) if times["fwf_parse_orders"] else None,

@@ -29,10 +29,11 @@ from fixreg.plans import cohort as K
 from fixreg.plans import driver_views as V
 from fixreg.plans import enrich as E
 from fixreg.plans import exams as X
+from fixreg.plans.assets import converted_tables
 from fixreg.plans.report import feed_report
 from fixreg.session import scratch_path
 from fixreg.sinks import export_tables, publish_tables, publish_view, write_csv
-from fixreg.sources.delimited import parse_delimited
+from fixreg.sources.delimited import parse_delimited, read_delimited
 from fixreg.sources.fixed_width import garbage_rows, parse_fixed_width, read_directory
 from fixreg.sources.layout import ColumnSpec, Layout
 from fixreg.streaming import convert_stream
@@ -250,18 +251,23 @@ KIND_LAYOUTS = {
 }
 
 
+KIND_NAME = "replace(c_name, 'Customer', 'Cliënt')"
+
+
 def _write_kind_folder(spark, d) -> str:
     root = scratch_path(spark, "kinds")
     V.table(spark, d, "orders").selectExpr(f"{ORDERS_LINE} AS value").write.text(f"{root}/EV21XX_orders.asc")
-    V.table(spark, d, "customer").selectExpr(f"{CUSTOMER_LINE} AS value").write.text(f"{root}/dec_KLANT.asc")
+    # Latin-1 with a character outside ASCII, as the register's own files.
+    line = CUSTOMER_LINE.replace("c_name", KIND_NAME)
+    V.table(spark, d, "customer").selectExpr(f"{line} AS value").write.options(
+        encoding="ISO-8859-1", sep="\x01", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{root}/dec_KLANT.asc")
     V.table(spark, d, "region").selectExpr("r_name AS value").write.text(f"{root}/notes.txt")
     return root
 
 
 def fwf_by_kind(spark, d):
     scan = read_directory(spark, _write_kind_folder(spark, d), KIND_LAYOUTS, on_garbage="fail")
-    parts = [t.agg(F.count(F.lit(1)).alias("records")).select(F.lit(n).alias("layout"), "records")
-             for n, t in sorted(scan.tables.items())]
+    parts = [t.drop("source_file").withColumn("layout", F.lit(n)) for n, t in sorted(scan.tables.items())]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)  # G9
@@ -279,6 +285,35 @@ def delimited_lookup(spark, d):
     return parse_delimited(lines, "line", ["NationCode", "NationName", "RegionCode"])
 
 
+def delimited_file(spark, d):
+    """A delimited file with a header, read with leading zeros and accents kept."""
+    path = scratch_path(spark, "delimited")
+    V.table(spark, d, "nation").selectExpr(
+        "lpad(CAST(n_nationkey AS STRING), 3, '0') AS NationCode", "n_name || ' é' AS NationName",
+        "CAST(n_regionkey AS STRING) AS RegionCode").write.option("header", True).option("sep", ";").csv(path)
+    return read_delimited(spark, path, ["NationCode", "NationName", "RegionCode"])
+
+
+FAR_LINE = ("lpad(CAST(p_partkey AS STRING), 8, '0') || rpad(p_brand, 10, ' ') || "
+            "CASE WHEN p_size > 40 THEN '               ver ' || CAST(p_size AS STRING) ELSE '' END")
+
+
+def fwf_garbage_far(spark, d):
+    """Undeclared data behind a long blank stretch is found by default."""
+    lines = V.table(spark, d, "part").selectExpr(f"{FAR_LINE} AS __line")
+    return norm(garbage_rows(lines, PART_LAYOUT).select(F.expr("CAST(substr(record, 1, 8) AS BIGINT)").alias("p_partkey"), "GarbageColumn"))
+
+
+def converted_years(spark, d):
+    """All converted tables of a prefix, not the first; a later one has a column more."""
+    root = scratch_path(spark, "years")
+    orders = V.table(spark, d, "orders")
+    orders.where("year(o_orderdate) % 2 = 0").select("o_orderkey", "o_orderstatus").write.parquet(f"{root}/EV_2024")
+    orders.where("year(o_orderdate) % 2 = 1").select("o_orderkey", "o_orderstatus", "o_custkey").write.parquet(f"{root}/EV_2025")
+    V.table(spark, d, "region").write.parquet(f"{root}/Dec_regio")
+    return norm(converted_tables(spark, root, "EV"))
+
+
 def stream_roundtrip_customer(spark, d):
     """Fixed-width files converted by the streaming reader (availableNow)."""
     src = scratch_path(spark, "landing")
@@ -481,8 +516,8 @@ def enriched_enrolments(spark, d):
 # ---------------------------------------------------------------------------
 
 def _cohort_base(spark, d) -> DataFrame:
-    """Enrolments as the cohort reads them: pruned, bucketed by person."""
-    return K.cohort_input(enriched(spark, d))
+    """Enrolments with the three columns the cohort's operators take from the enrichment."""
+    return E.first_year_degree(E.add_pa_cohort(E.add_programme(_enrolment(spark, d))))
 
 
 def intake(spark, d):
@@ -533,14 +568,18 @@ def retention_flags(spark, d):
 
 
 def cohort_hot_split(spark, d):
-    """The cohort with the hot-person split exercised: persons with more than
-    five yearly rows go through the broadcast branch, the rest through the
-    bucketed one; the result must equal the plain cohort."""
-    c = K.build_cohort(enriched(spark, d), hot_person_rows=5, split_min_bytes=0)
+    """The cohort planned lazily, every branch from the enrichment, where a hot
+    person is left to the skew split; it must equal the stored one."""
+    c = K.build_cohort(enriched(spark, d), materialize=False)
     return norm(c.select(PGN, "StatusNa1Jaar", "UitvalEerstejaar", "PropedeuseIn1Jaar", "JaarTotEenDiploma",
                          "Diplomajaar_DitDiploma"))
 
 
+def cohort_rows(spark, d):
+    """The whole cohort row: every intake column and every indicator."""
+    return norm(_cohort(spark, d))
+
+
 def status_after_year1(spark, d):
     return norm(_cohort(spark, d).select(PGN, "StatusNa1Jaar"))
 
@@ -671,6 +710,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "status_after_year1": status_after_year1,
     "cohort_hot_split": cohort_hot_split,
     "cohort_full": cohort_full,
+    "cohort_rows": cohort_rows,
+    "delimited_file": delimited_file,
+    "fwf_garbage_far": fwf_garbage_far,
+    "converted_years": converted_years,
     "unpivot_grades": unpivot_grades,
     "attempt_and_kind": attempt_and_kind,
     "last_attempt": last_attempt,

@@ -7,16 +7,33 @@ should produce.
 
 from __future__ import annotations
 
-from fixreg.functions.codes import (
-    DIPLOMA_KIND_BY_PHASE,
-    PRIOR_EDUCATION_RULES,
-    PROFILE_BY_CODE,
-    PROGRAMME_TYPE_BY_PHASE,
-    SECTOR_BY_CODE,
-)
 from fixreg.plans import driver_views as V
 
 SALT = "fixreg-check-salt"
+
+# Fixed values, written out from the register's code lists (not taken from the
+# implementation, so that a wrong code there shows).
+PRIOR_EDUCATION_RULES = [("mbo", "mbo"), ("vwo", "vwo"), ("havo", "havo"), ("hbo-p", "hbo-p"), ("hbo-ba", "hbo-ba"), ("hbo-ad", "hbo-ad"),
+                         ("hbo-vo/ma", "hbo-master"), ("hbo-pim", "hbo-master"), ("wo-p", "wo-p"), ("wo-ba", "wo-ba"),
+                         ("wo-on/ma", "wo-master"), ("wo-pim", "wo-master"), ("wo-vo/ma/bf", "wo-master")]
+PROFILE_BY_CODE = {
+    "00200": "ONB", "00201": "ALG", "00202": "CM", "00203": "EM", "00204": "EM & CM", "00205": "NG", "00206": "NG & CM",
+    "00207": "NG & EM", "00208": "NT", "00209": "NT & CM", "00210": "NT & EM", "00211": "NT & NG",
+    "00400": "ONG", "00401": "ALG", "00402": "CM", "00403": "EM", "00404": "EM & CM", "00405": "NG", "00406": "NG & CM",
+    "00407": "NG & EM", "00408": "NT", "00409": "NT & CM", "00410": "NT & EM", "00411": "NT & NG",
+}
+SECTORS = {
+    "0": "sectoroverstijgend", "1": "onderwijs", "2": "landbouw en natuurlijke omgeving", "3": "natuur", "4": "techniek",
+    "5": "gezondheidszorg", "6": "economie", "7": "recht", "8": "gedrag en maatschappij", "9": "taal en cultuur",
+}
+DKINDS = {"D": "propedeuse", "A": "associate degree", "B": "bachelor", "M": "master", "Q": "post-initiele master"}
+PTYPES = {
+    "O": "oude stijl (toegestaan t/m studiejaar 1992-1993)", "P": "propedeuse",
+    "1": "1e fase (WO); hoofdfase (HBO) (toegestaan t/m studiejaar 92-93)", "2": "2e fase (toegestaan t/m studiejaar 1996-1997)",
+    "I": "initiële opleiding (toegestaan vanaf studiejaar 1993-1994)", "V": "vervolgopleiding (toegestaan vanaf studiejaar 1993-1994)",
+    "K": "kandidaatsfase", "D": "propedeuse bachelor", "B": "bachelor", "M": "master", "A": "associate degree",
+    "T": "tussentijds doctoraal", "Q": "post-initiële master",
+}
 BOUNDARY = "\\b"  # regex word boundary
 
 
@@ -99,8 +116,18 @@ SQL["custom_converter"] = (
     "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, "
     "CAST(floor(o_totalprice * 100) AS BIGINT) / 100.0 AS amount FROM orders")
 SQL["fwf_by_kind"] = (
-    "SELECT 'Dec_klant' AS layout, count(*) AS records FROM customer "
-    "UNION ALL SELECT 'EVorders', count(*) FROM orders")
+    "SELECT 'Dec_klant' AS layout, CAST(c_custkey AS BIGINT) AS c_custkey, replace(c_name, 'Customer', 'Cliënt') AS c_name, "
+    f"CAST(c_nationkey AS BIGINT) AS c_nationkey, {_cell('substr(c_mktsegment, 1, 10)')} AS c_mktsegment, CAST(NULL AS BIGINT) AS o_orderkey, "
+    "CAST(NULL AS BIGINT) AS o_custkey, NULL AS o_orderstatus, CAST(NULL AS DATE) AS o_orderdate, NULL AS o_orderpriority FROM customer "
+    "UNION ALL SELECT 'EVorders', NULL, NULL, NULL, NULL, CAST(o_orderkey AS BIGINT), CAST(o_custkey AS BIGINT), o_orderstatus, "
+    f"CAST(o_orderdate AS DATE), {_cell('substr(o_orderpriority, 1, 15)')} FROM orders")
+SQL["delimited_file"] = (
+    "SELECT lpad(CAST(n_nationkey AS STRING), 3, '0') AS NationCode, n_name || ' é' AS NationName, "
+    "CAST(n_regionkey AS STRING) AS RegionCode FROM nation")
+SQL["fwf_garbage_far"] = "SELECT CAST(p_partkey AS BIGINT) AS p_partkey, 'ver ' || CAST(p_size AS STRING) AS GarbageColumn FROM part WHERE p_size > 40"
+SQL["converted_years"] = (
+    "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderstatus, "
+    "CASE WHEN year(o_orderdate) % 2 = 1 THEN CAST(o_custkey AS BIGINT) END AS o_custkey FROM orders")
 SQL["feed_report"] = (
     "SELECT 'EV21XX_orders.asc' AS entry, 'EVorders' AS layout, count(*) AS records, CAST(0 AS BIGINT) AS garbage_records "
     "FROM orders UNION ALL SELECT 'dec_KLANT.asc', 'Dec_klant', count(*), 0 FROM customer "
@@ -193,7 +220,6 @@ SQL["coalesce_code"] = (
     f"WITH {EV} SELECT PersoonsgebondenNummer, Inschrijvingsjaar, "
     "coalesce(OpleidingHistorischEquivalent, OpleidingActueelEquivalent) AS opleiding FROM ev")
 
-SECTORS, PTYPES, DKINDS = SECTOR_BY_CODE, PROGRAMME_TYPE_BY_PHASE, DIPLOMA_KIND_BY_PHASE
 SQL["recode_default_unknown"] = (
     f"WITH {EV} SELECT PersoonsgebondenNummer, Inschrijvingsjaar, "
     f"coalesce({_case_map('CrohoOnderdeelActueleOpleiding', SECTORS, 'CrohoOnderdeelActueleOpleiding')}, 'onbekend') "
@@ -229,6 +255,13 @@ SQL["enrich_classification"] = (
     f"WITH {EV}, {LK} SELECT ev.PersoonsgebondenNummer, ev.Inschrijvingsjaar, c.ISCEDF2013Detailgroep, "
     "c.ISCEDF2013DetailgroepOmschrijving, c.ISCEDF2013Rubriek, c.ISCEDF2013RubriekOmschrijving FROM ev "
     "LEFT JOIN isced c ON ev.Opleidingscode IS NOT DISTINCT FROM c.Opleidingscode")
+ENRICHED_JOINS = (
+    "LEFT JOIN vopl2 v ON ev.HoogsteVooropleiding IS NOT DISTINCT FROM v.VooropleidingCode "
+    "LEFT JOIN brin b ON ev.InstellingVanDeHoogsteVooropleiding IS NOT DISTINCT FROM b.Brinnummer "
+    "AND ev.VestigingsnummerVanDeHoogsteVooropleiding IS NOT DISTINCT FROM b.Vestigingsnummer "
+    "LEFT JOIN isat i ON ev.OpleidingActueelEquivalent IS NOT DISTINCT FROM i.Opleidingscode "
+    "LEFT JOIN lokaal l ON ev.OpleidingActueelEquivalent IS NOT DISTINCT FROM l.Opleidingscode "
+    "LEFT JOIN isced c ON ev.Opleidingscode IS NOT DISTINCT FROM c.Opleidingscode")
 SQL["enriched_enrolments"] = (
     f"WITH {EV}, {LK}, {VOPL}, ev2 AS (SELECT *, {E9} AS HoDiplomaInEersteJaar, {E12} AS InPACohortDefinitie FROM ev) "
     "SELECT ev.PersoonsgebondenNummer, ev.Inschrijvingsjaar, CAST(1 AS BIGINT) AS Aantal, "
@@ -241,13 +274,7 @@ SQL["enriched_enrolments"] = (
     "ev.HoDiplomaInEersteJaar, "
     f"coalesce({_case_map('ev.Opleidingsfase', PTYPES, 'ev.Opleidingsfase')}, 'onbekend') AS TypeOpleiding, "
     "l.CodeOpleiding, l.NaamFaculteit, ev.InPACohortDefinitie, "
-    "c.ISCEDF2013Rubriek, c.ISCEDF2013RubriekOmschrijving FROM ev2 AS ev "
-    "LEFT JOIN vopl2 v ON ev.HoogsteVooropleiding IS NOT DISTINCT FROM v.VooropleidingCode "
-    "LEFT JOIN brin b ON ev.InstellingVanDeHoogsteVooropleiding IS NOT DISTINCT FROM b.Brinnummer "
-    "AND ev.VestigingsnummerVanDeHoogsteVooropleiding IS NOT DISTINCT FROM b.Vestigingsnummer "
-    "LEFT JOIN isat i ON ev.OpleidingActueelEquivalent IS NOT DISTINCT FROM i.Opleidingscode "
-    "LEFT JOIN lokaal l ON ev.OpleidingActueelEquivalent IS NOT DISTINCT FROM l.Opleidingscode "
-    "LEFT JOIN isced c ON ev.Opleidingscode IS NOT DISTINCT FROM c.Opleidingscode")
+    "c.ISCEDF2013Rubriek, c.ISCEDF2013RubriekOmschrijving FROM ev2 AS ev " + ENRICHED_JOINS)
 
 # --- cohorts ----------------------------------------------------------------
 MAIN = "coalesce(TRY_CAST(SoortInschrijvingHogerOnderwijs AS BIGINT) = 1, false)"
@@ -292,7 +319,9 @@ COHORT = (
     "a1 AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY PersoonsgebondenNummer ORDER BY "
     f"{AW_ORDER}, opleiding NULLS LAST, OpleidingActueelEquivalent NULLS LAST, Opleidingsvorm NULLS LAST, "
     "Aantal NULLS LAST) AS rn FROM aw) WHERE rn = 1), "
-    "k7 AS (SELECT k13.*, a1.Diplomajaar AS Diplomajaar_EenDiploma, "
+    "k7 AS (SELECT k13.*, a1.Diplomajaar AS Diplomajaar_EenDiploma, a1.opleiding AS opleiding_EenDiploma, "
+    "a1.OpleidingActueelEquivalent AS OpleidingActueelEquivalent_EenDiploma, a1.Aantal AS Aantal_EenDiploma, "
+    "a1.DatumTekeningDiploma AS DatumTekeningDiploma_EenDiploma, a1.Opleidingsvorm AS Opleidingsvorm_EenDiploma, "
     "CAST(coalesce(a1.Aantal, 0) AS BIGINT) AS BachelorDiploma, "
     "a1.Diplomajaar - k13.EersteJaarAanDezeActueleInstelling AS JaarTotEenDiploma FROM k13 "
     "LEFT JOIN a1 ON k13.PersoonsgebondenNummer = a1.PersoonsgebondenNummer), "
@@ -300,7 +329,8 @@ COHORT = (
     f"ORDER BY {AW_ORDER}, OpleidingActueelEquivalent NULLS LAST, Opleidingsvorm NULLS LAST, Aantal NULLS LAST) "
     "AS rn FROM aw) WHERE rn = 1), "
     "k8 AS (SELECT k7.*, a2.Diplomajaar AS Diplomajaar_DitDiploma, a2.DatumTekeningDiploma AS "
-    "DatumTekeningDiploma_DitDiploma, a2.OpleidingActueelEquivalent AS OpleidingActueelEquivalent_DitDiploma "
+    "DatumTekeningDiploma_DitDiploma, a2.OpleidingActueelEquivalent AS OpleidingActueelEquivalent_DitDiploma, "
+    "a2.Opleidingsvorm AS Opleidingsvorm_DitDiploma, a2.Aantal AS Aantal_DitDiploma "
     "FROM k7 LEFT JOIN a2 ON k7.PersoonsgebondenNummer = a2.PersoonsgebondenNummer "
     "AND k7.opleiding IS NOT DISTINCT FROM a2.opleiding), "
     "k15 AS (SELECT *, CASE WHEN HoDiplomaInEersteJaar = 1 THEN 'HoDiplomaInEersteJaar' "
@@ -344,6 +374,24 @@ SQL["cohort_full"] = COHORT + (
     "CAST(sum(BachelorDiploma) AS BIGINT) AS bachelors, CAST(sum(EenDiplomaBinnen5jaar) AS BIGINT) AS bachelor_5y "
     "FROM k16 GROUP BY ALL")
 
+COHORT_WHOLE = (
+    f"WITH {EV}, {LK}, {VOPL}, ev2 AS (SELECT *, {E9} AS HoDiplomaInEersteJaar, {E12} AS InPACohortDefinitie FROM ev), "
+    "enr2 AS (SELECT ev.*, CAST(1 AS BIGINT) AS Aantal, v.VooropleidingCode AS HoogsteVooropleidingCode, "
+    "v.OmschrijvingVooropleiding AS HoogsteVooropleidingVolledig, v.ProfielVooropleiding AS HoogsteVooropleidingProfiel, v.Vooropleiding, "
+    "b.NaamInstellingVooropleiding AS NaamInstellingHoogsteVooropleiding, b.PostcodeInstellingVooropleiding AS PostcodeInstellingHoogsteVooropleiding, "
+    "b.PlaatsInstellingVooropleiding AS PlaatsInstellingHoogsteVooropleiding, "
+    "b.DatumOprichtingInstellingVooropleiding AS DatumOprichtingInstellingHoogsteVooropleiding, "
+    "b.DatumOpheffingInstellingVooropleiding AS DatumOpheffingInstellingHoogsteVooropleiding, "
+    "b.DenominatieInstellingVooropleidingCode AS CodeDenominatieInstellingHoogsteVooropleiding, "
+    "b.NaamDenominatieInstellingVooropleiding AS DenominatieInstellingHoogsteVooropleiding, i.NaamOpleiding AS NaamOpleidingCroho, "
+    "coalesce(ev.OpleidingHistorischEquivalent, ev.OpleidingActueelEquivalent) AS opleiding, "
+    f"coalesce({_case_map('ev.CrohoOnderdeelActueleOpleiding', SECTORS, 'ev.CrohoOnderdeelActueleOpleiding')}, 'onbekend') AS CrohoOnderdeel, "
+    f"{_case_map('ev.OpleidingsfaseActueelVanHetDiploma', DKINDS, 'ev.OpleidingsfaseActueelVanHetDiploma')} AS SoortDiploma, "
+    "l.CodeOpleiding, l.NaamOpleiding, l.NaamFaculteit, l.CodeFaculteit, c.ISCEDF2013Detailgroep, c.ISCEDF2013DetailgroepOmschrijving, "
+    "c.ISCEDF2013Rubriek, c.ISCEDF2013RubriekOmschrijving FROM ev2 AS ev " + ENRICHED_JOINS + "), ")
+SQL["cohort_rows"] = COHORT_WHOLE + COHORT[COHORT.index("intake AS"):] + (
+    "SELECT * EXCLUDE (same_inst, degree, same_prog, p1, p2, TypeOpleidingNiveau), TypeOpleidingNiveau AS TypeOpleiding, " + WITHIN + " FROM k15")
+
 # --- exam grades ----------------------------------------------------------------
 EXAM = f"ex AS ({V.select_sql(V.EXAM_EXPRS, 'lineitem')})"
 MELT = " UNION ALL ".join(

@@ -6,17 +6,16 @@ rules.  Each rule is one SQL expression, used by Spark (``selectExpr``) and
 by the DuckDB oracle alike, so both sides start from identical input and
 only the operator under test differs.
 
-Base view ENR (one row per person and year): person = ``o_custkey``,
-year = ``year(o_orderdate)``, the person's first order of the year
-(by date, then order key); ``first_yr`` = the person's first year.
+Base view ENR (every order): person = ``o_custkey``, year =
+``year(o_orderdate)``; all but the person's first order of a year (by date,
+then order key) are side enrolments; ``first_yr`` = the person's first year.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixreg.operators.first_per_key import first_per_key
 from fixreg.plans.enrich import Lookups
 from fixreg.sources.delimited import parse_delimited
 from fixreg.sources.tables import read_table
@@ -71,7 +70,7 @@ ENROLMENT_EXPRS = [
     ("EersteJaarAanDezeActueleInstelling", "first_yr"),
     ("EersteJaarInHetHogerOnderwijs", "CASE WHEN o_custkey % 4 = 0 THEN first_yr - 1 ELSE first_yr END"),
     ("IndicatieActiefOpPeildatum", "CAST(CASE WHEN o_orderkey % 10 = 9 THEN 0 ELSE 1 END AS BIGINT)"),
-    ("SoortInschrijvingHogerOnderwijs", "CASE WHEN o_orderkey % 7 = 6 THEN '2' ELSE '1' END"),
+    ("SoortInschrijvingHogerOnderwijs", "CASE WHEN side OR o_orderkey % 7 = 6 THEN '2' ELSE '1' END"),
     ("ActueleInstelling", "'21X' || CAST(o_orderkey % 3 AS STRING)"),
     ("Opleidingscode", PROGRAMME_CODE),
     ("OpleidingActueelEquivalent", f"lpad(CAST({PROGRAMME_CODE} AS STRING), 5, '0')"),
@@ -161,29 +160,20 @@ def _select(df: DataFrame, exprs: list[tuple[str, str]]) -> DataFrame:
 
 
 def enr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ENR: first order per (person, year) plus the person's first year.
-
-    First-per-key runs as a window with a partial group limit before the
-    shuffle, so a busy customer ships one row per map task and year.  After
-    it a person has one row per year, so the first-year window over the
-    person holds a bounded group.
-    """
+    """ENR: every order, with the person's first year and whether it is a side
+    enrolment (not the person's first order of the year).  Both come from
+    aggregates by person and year, joined back."""
     o = table(spark, sf_dir, "orders").withColumn("yr", F.year("o_orderdate").cast("bigint"))
-    first = first_per_key(o, ["o_custkey", "yr"], ["o_orderdate", "o_orderkey"], complete_order=False)
-    return first.withColumn("first_yr", F.min("yr").over(Window.partitionBy("o_custkey")))
+    first = o.groupBy("o_custkey", "yr").agg(F.min(F.struct("o_orderdate", "o_orderkey")).alias("first"))
+    start = first.groupBy("o_custkey").agg(F.min("yr").alias("first_yr"))
+    return (o.join(first, ["o_custkey", "yr"]).join(start, "o_custkey")
+            .withColumn("side", F.col("o_orderkey") != F.col("first.o_orderkey")).drop("first"))
 
 
 def enrolment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(enr(spark, sf_dir), ENROLMENT_EXPRS)
 
 
-def _sql_table(spark: SparkSession, sf_dir: str, sql: str, tables: list[str]) -> DataFrame:
-    # Same SQL as the oracle, planned by Spark over the parquet files.
-    for t in tables:
-        table(spark, sf_dir, t).createOrReplaceTempView(t)
-    return spark.sql(sql)
-
-
 def lookups(spark: SparkSession, sf_dir: str, with_local_names: bool = True) -> Lookups:
     part = table(spark, sf_dir, "part")
     orders = table(spark, sf_dir, "orders")
@@ -235,8 +225,7 @@ def dec_vooropl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ENR_SQL = (
     "o AS (SELECT *, CAST(year(o_orderdate) AS BIGINT) AS yr FROM orders), "
-    "f AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, yr "
-    "ORDER BY o_orderdate, o_orderkey) AS rn FROM o) WHERE rn = 1), "
+    "f AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, yr ORDER BY o_orderdate, o_orderkey) > 1 AS side FROM o), "
     "enr AS (SELECT f.*, min(yr) OVER (PARTITION BY o_custkey) AS first_yr FROM f)"
 )
 
