@@ -72,4 +72,38 @@ QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_sentencepiece, op3_decontamination, op4_line_dedup, op5_license_scan, op6_toxicity, op7_pii_scan,
     op8_chat_formatting, op9_simhash, op10_exact_top_k)}
 
-SQL: dict[str, str] = {}
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_ESCAPED = r"replace(replace(replace(replace(replace({}, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')"
+
+SQL: dict[str, str] = {
+    "op3_decontamination": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
+        win AS (SELECT DISTINCT item_id, array_to_string(w[k + 1:k + 13], ' ') AS said, least(len(w), 13) AS size
+                FROM i, LATERAL (SELECT unnest(range(0, greatest(len(w) - 13, 0) + 1)) AS k) WHERE len(w) > 0),
+        spot AS (SELECT doc_id, w, size, unnest(range(0, greatest(len(w) - size + 1, 0))) AS k
+               FROM d, (SELECT DISTINCT size FROM win)),
+        found AS (SELECT spot.doc_id, spot.k, spot.size, win.item_id FROM spot
+                  JOIN win ON spot.size = win.size AND win.said = array_to_string(spot.w[spot.k + 1:spot.k + spot.size], ' ')),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM found) GROUP BY doc_id),
+        named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items FROM found GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op8_chat_formatting": f"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(CASE WHEN role = 'assistant' THEN length({_ESCAPED.format('text')}) + 4
+                             ELSE length(replace({_ESCAPED.format('role')}, chr(10), '\\n')) + length({_ESCAPED.format('text')}) + 16 END) AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id""".replace("'\\\\n'", "'\\n'"),
+    "op10_exact_top_k": """
+        WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+              FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+}
