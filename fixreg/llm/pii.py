@@ -19,8 +19,10 @@ from .crf import Crf
 from .labelled import PERSON_LINES, labelled
 from .secrets import add_spans
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# Each takes up a whole run of its first characters even where the rest (group 1) is missing: a run that
+# fails at its head fails from everywhere else in it, so long runs cost linear time.
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]++(@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+)?")
+IP = re.compile(r"[0-9]++(\.[0-9]++\.[0-9]++\.[0-9]++)?")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
@@ -38,11 +40,11 @@ def _luhn(digits: str) -> bool:
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     out = []
     if "@" in text:
-        out += [("email", m.start(), m.end()) for m in EMAIL.finditer(text)]
+        out += [("email", m.start(), m.end()) for m in EMAIL.finditer(text) if m[1]]
     if not DIGIT.search(text):
         return out
     if "." in text:
-        out += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(_byte(p) for p in m[0].split("."))]
+        out += [("ip", m.start(), m.end()) for m in IP.finditer(text) if m[1] and all(_byte(p) for p in m[0].split("."))]
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 16 <= len(digits) <= 19 and _luhn(digits):

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +43,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def add_spans(base: list[tuple[str, int, int]], more: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """``base``, and those of ``more`` that overlap none of it."""
-    return base + [s for s in more if all(s[2] <= b[1] or s[1] >= b[2] for b in base)]
+    by_start = sorted(base, key=lambda s: s[1])
+    starts, reach = [s[1] for s in by_start], [0, *accumulate((s[2] for s in by_start), max)]
+    return base + [s for s in more if reach[bisect_left(starts, s[2])] <= s[1]]
 
 
 def tagger() -> Crf:
