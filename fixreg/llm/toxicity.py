@@ -310,14 +310,15 @@ def held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame, labels: DataFrame, each: int = 2000, most_chars: int = 50_000) -> Network:
     """A network from at most ``each`` rows of either label, in an order by hash,
     whose texts have ``most_chars`` characters or fewer (that bounds the driver's
-    memory; scoring takes whole texts).  An id labelled twice is toxic if any says so."""
+    memory; scoring takes whole texts).  An id labelled twice is toxic if any says so;
+    of an id with several texts the least is learned."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("order", F.xxhash64("doc_id", F.lit(11))))
     texts = docs.select("doc_id", "text").where(f"text IS NOT NULL AND length(text) <= {most_chars}")
     rows = []
     for y in (0, 1):
         chosen = known.where(f"toxic = {y}").orderBy("order", "doc_id").limit(each).select("doc_id")
-        rows += [(r["doc_id"], r["text"], y) for r in texts.join(F.broadcast(chosen), "doc_id").distinct().collect()]
+        rows += [(r["doc_id"], r["text"], y) for r in texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect()]
     rows.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[1]))
     return train([t for _, t, _ in rows], [y for _, _, y in rows])
 
