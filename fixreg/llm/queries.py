@@ -31,8 +31,8 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The class of every line of 20 characters or more."""
-    return linededup.line_classes(table(spark, sf_dir, "documents"))
+    """The class of every line that is not blank."""
+    return linededup.line_classes(table(spark, sf_dir, "documents"), short=True)
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 import corpus_pipeline
 from fixreg.llm import decontaminate, linededup, simhash, topk
 from fixreg.llm.common import connected_components
-from fixreg.llm.queries import piece_model
+from fixreg.llm.queries import QUERIES, piece_model
 
 
 def groups_of(links, nodes):
@@ -181,6 +181,18 @@ def test_repeated_lines_go(spark):
     assert got == [(1, f"{a}\n{c}\n{b}", 5), (2, rest, len(rest)), (4, "", 0), (4, c, 5)]
 
 
+def test_short_lines_are_classed_and_go(spark, tmp_path):
+    """Every line that is not blank has a class in the query; short ones go in the pipeline if they are exact copies."""
+    a = "a line of more than twenty characters"
+    docs = [(1, f"{a}\nshort\n \nab\n"), (2, f"x{a}\nshort\nac\n\nshort"), (3, "short"), (None, "q"), (4, "q\nshorts\n ")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {tuple(x) for x in QUERIES["op4_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {(1, 0, 1, 0), (1, 1, 1, 1), (1, 3, 1, 3), (2, 0, 1, 0), (2, 1, 1, 1), (2, 2, 2, 2), (2, 4, 1, 1), (3, 0, 1, 1), (None, 0, None, 0), (4, 0, None, 0), (4, 1, 4, 1)}
+    kept = {tuple(x) for x in corpus_pipeline.dedup_lines(spark, df, "").collect()}
+    assert kept == {docs[0], (2, "ac\n"), docs[3], (4, "shorts\n ")}
+
+
 def test_top_k(spark):
     r = np.random.default_rng(9)
     vectors = [(k, [float(x) for x in r.integers(-3, 4, 6)]) for k in range(400)]  # small integers: many ties
