@@ -26,10 +26,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, fresh, runs, text_udf, written
+from .decontaminate import row_key
 
 SHINGLE = 4
 DISTANCE = 4
@@ -219,6 +220,17 @@ def links(prints: DataFrame, distance: int = DISTANCE, tile: int = TILE) -> Data
     return tiles.mapInPandas(compare, "a long, b long")
 
 
+def print_column(text: Column, shingle: int = SHINGLE) -> Column:
+    of = text_udf(lambda: lambda texts: {"fp": fingerprints(texts, shingle).view(np.int64)}, "fp long")
+    return of(text).getField("fp")
+
+
+def print_components(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``prints`` (one row for each fingerprint ``fp``) with the ``component`` each belongs to."""
+    comp = connected_components(links(prints, distance)).withColumnRenamed("node", "fp")
+    return prints.join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs`` (doc_id, text).
 
@@ -228,11 +240,8 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIST
     come; a null doc_id is never a component's name unless it has no other
     (then the name is null).  An empty table gives an empty result.
     """
-    of = text_udf(lambda: lambda texts: {"fp": fingerprints(texts, shingle).view(np.int64)}, "fp long")
-    fp = written(docs.select("doc_id", of(F.col("text")).getField("fp").alias("fp")), "simhash-prints")
-    groups = fp.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    comp = connected_components(links(groups, distance)).withColumnRenamed("node", "fp")
-    linked = groups.join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    fp = written(docs.select("doc_id", print_column(F.col("text"), shingle).alias("fp")), "simhash-prints")
+    linked = print_components(fp.groupBy("fp").agg(F.min("doc_id").alias("low")), distance)
     names = linked.groupBy("component").agg(F.min("low").alias("component_id"))
     of_print = linked.select("fp", "component").join(names, "component").select("fp", "component_id")
     return fp.join(of_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -240,11 +249,12 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIST
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each SimHash group: that of the smallest
-    doc_id.  Of rows that repeat this doc_id one stays; so does one row of a
-    group whose ids are all null."""
-    null, key = fresh(docs, "is_null"), fresh(docs, "key")
-    groups = simhash_groups(docs.select("doc_id", "text"))
-    keep = (groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.isnull("doc_id").alias(null), F.coalesce("doc_id", F.lit(0)).alias(key)).distinct())
-    return (docs.withColumn(null, F.isnull("doc_id")).withColumn(key, F.coalesce("doc_id", F.lit(0)))
-            .join(keep, [null, key], "left_semi").dropDuplicates([null, key]).select(*docs.columns))
+    doc_id, a null id only if the group has no other.  Of rows that share this
+    id one stays, by a hash of their texts."""
+    k1, k2 = fresh(docs, "k1"), fresh(docs, "k2")
+    rows = row_key(docs.select("doc_id", "text")).select("doc_id", "k1", "k2", print_column(F.col("text")).alias("fp"))
+    least = F.struct(F.isnull("doc_id").alias("null"), "doc_id", "k1", "k2")
+    prints = written(rows.select("fp", least.alias("row")), "simhash-rows").groupBy("fp").agg(F.min("row").alias("row"))
+    keep = print_components(prints).groupBy("component").agg(F.min("row").alias("row")).select(F.col("row.k1").alias(k1), F.col("row.k2").alias(k2))
+    keyed = docs.withColumns({k1: F.xxhash64(F.lit(1), "doc_id", "text"), k2: F.xxhash64(F.lit(2), "doc_id", "text")})
+    return keyed.join(keep, [k1, k2], "left_semi").dropDuplicates([k1, k2]).select(*docs.columns)

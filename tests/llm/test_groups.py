@@ -82,6 +82,15 @@ def test_simhash(spark, awkward):
     assert kept.count() == len({r["component_id"] for r in simhash.simhash_groups(awkward).collect()})
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Null ids in several groups, and ids that name texts of different groups."""
+    r = random.Random(11)
+    text = [" ".join(f"w{r.randrange(10**6)}" for _ in range(40)) for _ in range(6)]
+    docs = [(None, text[0]), (None, text[0]), (None, text[1]), (None, text[2]), (7, text[2]), (7, text[3]), (7, text[3]), (1, text[3]), (8, text[4]), (8, text[5])]
+    got = sorted(map(tuple, simhash.keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect()), key=str)
+    assert got == sorted([(None, text[0]), (None, text[1]), (7, text[2]), (1, text[3]), (8, text[4]), (8, text[5])], key=str)
+
+
 def test_tiles_lose_no_link(spark):
     r = random.Random(6)
     prints = {0}
