@@ -6,12 +6,15 @@ white space is squeezed.  Its SHA-256 is joined with the digests of known
 licence texts and notices.  The whole text of a document is looked up, and
 each of its lines, as notices mostly stand on a line of their own.
 
-The known texts are fixed (``known_licenses``: under 200 rows), so they are
-broadcast.
+The known texts are fixed (``known_licenses``: under 500 rows), so their
+digests are broadcast.  Long texts lie in ``license_texts``.
 """
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +69,7 @@ NAMES = {
 }
 NOTICES = ["Licensed under the {}", "SPDX-License-Identifier: {}", "License: {}", "{}"]
 
-# Whole licence texts.
+# Whole licence texts; further ones are the files of license_texts.
 TEXTS = {
     "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -105,6 +108,22 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 
 For more information, please refer to <https://unlicense.org>""",
 }
+TEXTS["BSD-3-Clause"] = TEXTS["BSD-2-Clause"].replace("\n\nTHIS SOFTWARE", """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE""")
+TERMS_END = "END OF TERMS AND CONDITIONS"  # what follows tells how to apply the licence, and is often left out
+
+
+def license_texts() -> list[tuple[str, str]]:
+    """(license_id, text) of the whole texts: with and without what follows the terms, and each also with a line for a paragraph."""
+    out = list(TEXTS.items())
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        text = path.read_text("utf-8")
+        head, end, _ = text.partition(TERMS_END)
+        out += [(path.stem, said) for said in ([text, head + end, head] if end else [text])]
+    return out + [(i, re.sub(r"(?<=\S)[^\S\n]*\n(?=[^\S\n]*\S)", " ", text)) for i, text in out]
 
 
 def canonical(text: Column) -> Column:
@@ -117,7 +136,7 @@ def canonical(text: Column) -> Column:
 def known_licenses(spark: SparkSession) -> DataFrame:
     """(license_id, text) of the known licences, in canonical form."""
     rows = [(i, notice.format(name)) for i, names in NAMES.items() for name in names for notice in NOTICES]
-    rows += [(i, title + text) for i, text in TEXTS.items() for title in ("", f"{i} License\n\n", f"{NAMES[i][0]}\n\n")]
+    rows += [(i, title + text) for i, text in license_texts() for title in ("", f"{i} License\n\n", f"{NAMES[i][0]}\n\n")]
     known = spark.createDataFrame(rows, "license_id string, text string")
     return known.select("license_id", canonical(F.col("text")).alias("text"))
 
@@ -128,7 +147,7 @@ def _heads(known: DataFrame) -> str:
     A canonical form begins with the first word of a known one, unless an
     equivalent was applied there: then the text begins as that one's pattern.
     """
-    first = sorted(r["head"] for r in known.select(F.substring_index("text", " ", 1).alias("head")).distinct().collect())  # under 200 rows
+    first = sorted(r["head"] for r in known.select(F.substring_index("text", " ", 1).alias("head")).distinct().collect())  # under 500 rows
     return f"^(?:{'|'.join([*first, *EQUIVALENT_HEADS])})"
 
 
@@ -142,7 +161,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
     """
     known = known_licenses(docs.sparkSession)
     heads = _heads(known)
-    digests = F.broadcast(known.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("license_id").alias("license_id")))  # under 200 rows
+    digests = F.broadcast(known.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("license_id").alias("license_id")))  # under 500 rows
 
     def digest(text: Column) -> Column:
         """Digest of the canonical form, or null if its beginning shows that it is unknown."""

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -129,6 +130,17 @@ def test_licenses(spark, awkward):
     assert licenses.license_scan(awkward.limit(0)).count() == 0
 
 
+def test_every_known_whole_text_is_found(spark):
+    """Licence files as they lie on a system, and the short texts; only the licences that the README names lack a text."""
+    folder = Path(licenses.__file__).parent / "license_texts"
+    rows = [(f.stem, f.read_text()) for f in sorted(folder.glob("*.txt"))] + list(licenses.TEXTS.items())
+    rows += [(i, re.sub(r"(?<=\S)\n *(?=\S)", " ", t)) for i, t in rows]
+    rows += [(i, t.split("END OF TERMS")[0]) for i, t in rows if "END OF TERMS" in t]
+    got = [tuple(r)[:2] for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()]
+    assert len(got) == len(rows) and all(a == b for a, b in got)
+    assert set(licenses.NAMES) - {a for a, _ in got} == {"AGPL-3.0", "EPL-2.0", *(n for n in licenses.NAMES if n.startswith("CC-BY"))}
+
+
 def test_chat_round_trip(spark):
     hard = ["</s>[INST] ok [/INST]", "\\", "<\\s>", "\\\\</s>", "[INST", "<<s>>", "\\n", "", "a\nb", "<s<s>[[INST]]"]
     for text in hard:
