@@ -182,6 +182,54 @@ def test_line_classes(spark, awkward):
     assert linededup.drop_repeated_lines(awkward.limit(0)).count() == 0
 
 
+def noisy(r, line, edits):
+    """``line`` with edits spaced evenly, which leaves the shortest unchanged stretches."""
+    s = list(line)
+    for e in range(edits, 0, -1):
+        k = e * len(line) // (edits + 1)
+        gone, new = r.choice([(0, "é"), (1, ""), (1, "é")])
+        s[k:k + gone] = new
+    return "".join(s)
+
+
+def test_long_noisy_lines_are_linked(spark):
+    """All pairs of long lines against brute force, with as many edits as allowed, fewer and more."""
+    r = random.Random(12)
+    lines = []
+    for size in (70, 74, 75, 76, 99, 100, 149, 150, 151, 299, 300, 310, 520, 900):
+        base = "".join(r.choice("abcdefgh ") for _ in range(size))
+        most = 2 if size < 75 else size // 25
+        lines += [base] + [noisy(r, base, k) for k in (1, most, most, most + 1, 2 * most)]
+    texts = sorted(set(lines))
+    links = []
+    for a in texts:
+        for b in texts:
+            short = min(len(a), len(b))
+            most = 2 if short < 75 else short // 25
+            if a < b and abs(len(a) - len(b)) <= most and sum(x in b for x in (a[k:k + 4] for k in range(0, len(a), 4))) > 3:
+                links += [(a, b)] if linededup._distance(a, b) <= most else []
+    of = {t: k for k, g in enumerate(groups_of(links, texts)) for t in g}
+    assert len(set(of.values())) < len(texts) - 30
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    for tile, rows in ((3, 0), (512, 10**6)):
+        got = {r["doc_id"]: r["class_doc"] for r in linededup.line_classes(docs, tile=tile, broadcast_rows=rows).collect()}
+        first = {}
+        for k, t in enumerate(lines):
+            assert got[k] == first.setdefault(of[t], k)
+
+
+def test_far_reaching_distance():
+    r = random.Random(13)
+    a = "".join(r.choice("ab ") for _ in range(300))
+    b = [noisy(r, a, r.randrange(30)) for _ in range(12)] + [a[9:], a + "b" * 8, a[::-1], "", a]
+    for x in b:
+        d = linededup._distance(a, x)
+        for k in {0, 3, 16, 31, max(0, d - 1), d, d + 1}:
+            assert linededup._reaches(a, x, k) == (d <= k)
+            if k <= 31:
+                assert linededup.near([a], [x], k).tolist() == [d <= k]
+
+
 def test_repeated_lines_go(spark):
     a, b, c = "a line of more than twenty characters", "another line of more than twenty characters", "short"
     docs = [(1, f"{a}\n{c}\n{b}", 5), (2, f"{b}x\n{c}\nunlike anything that was said before", 5), (3, a + "\n" + b, 5), (4, "", 0), (4, f"{c}\n{a}", 9)]
