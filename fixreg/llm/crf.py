@@ -73,22 +73,21 @@ class Tokens:
             return
         size = self.end - self.start
 
-        def count(per_class: dict[int, int]) -> np.ndarray:
-            """Running counts of classes, each in its 16 bits."""
-            value = np.zeros(10, np.uint64)
-            for c, place in per_class.items():
-                value[c] = 1 << (16 * place)
-            return np.concatenate((np.zeros(1, np.uint64), np.cumsum(value[kind])))
-
-        def field(packed: np.ndarray, place: int) -> np.ndarray:
-            return (packed >> np.uint64(16 * place) & np.uint64(0xFFFF)).astype(np.int64)
-
-        shape = count({4: 0, 3: 1, 2: 2, 5: 3})
-        inner = shape[self.end] - shape[self.start]
-        digit, upper, lower, joiner = (field(inner, p) for p in range(4))
-        gap = count({6: 0, 7: 1, 8: 2, 1: 3})
-        before = gap[self.start] - np.concatenate((gap[:1], gap[self.end[:-1]]))
-        self.line = np.cumsum(field(before, 3) > 0)
+        def count(c: int) -> np.ndarray:
+            """Running count of a class."""
+            return np.concatenate((np.zeros(1, np.int64), np.cumsum(kind == c, dtype=np.int64)))
+
+        def within(c: int) -> np.ndarray:
+            running = count(c)
+            return running[self.end] - running[self.start]
+
+        def before(c: int) -> np.ndarray:
+            """Count in the gap before a token."""
+            running = count(c)
+            return running[self.start] - np.concatenate((running[:1], running[self.end[:-1]]))
+
+        digit, upper, lower, joiner = (within(c) for c in (4, 3, 2, 5))
+        self.line = np.cumsum(before(1) > 0)
         change = np.concatenate((np.zeros(2, np.int32), np.cumsum(kind[1:] != kind[:-1], dtype=np.int32)))
         changes = change[self.end] - change[self.start + 1]
         not_hex = np.concatenate((np.zeros(1, np.int32), np.cumsum(~HEX[small], dtype=np.int32)))
@@ -101,8 +100,8 @@ class Tokens:
             (lower > 0).astype(np.int64),
             np.where(joiner == 0, 0, np.where((joiner == 1) & (kind[self.end - 1] == 5), 2, 1)),
             (changes * 10 >= size * 3).astype(np.int64) & (size >= 8),
-            (field(before, 0) > 0).astype(np.int64),
-            (field(before, 1) > 0).astype(np.int64),
+            (before(6) > 0).astype(np.int64),
+            (before(7) > 0).astype(np.int64),
             ((not_hex[self.end] == not_hex[self.start]) & (digit > 0)).astype(np.int64),
             self._cues(code, kind),
         )

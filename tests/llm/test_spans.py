@@ -4,6 +4,7 @@ import random
 import re
 import time
 
+from fixreg.llm import crf
 from fixreg.llm.pii import base_spans
 from fixreg.llm.secrets import add_spans
 
@@ -32,3 +33,12 @@ def test_added_spans_overlap_no_base_span():
     for _ in range(5_000):
         base, more = some(r.randrange(5)), some(3)
         assert add_spans(base, more) == base + [s for s in more if all(s[2] <= b[1] or s[1] >= b[2] for b in base)]
+
+
+def test_long_tokens_and_gaps_have_the_shape_of_shorter_ones():
+    """More characters of a class than 16 bits count."""
+    for part in ("9", "a", "Ab", "a1-"):
+        short, long = crf.Tokens([part * 100]), crf.Tokens([part * 70_000])
+        assert long.code.tolist() == short.code.tolist()
+    short, long = crf.Tokens(["a" + "  " * 20 + "b = c"]), crf.Tokens(["a" + "  " * 65_536 + "b = c"])
+    assert long.code.tolist() == short.code.tolist() and long.line.tolist() == short.line.tolist()
