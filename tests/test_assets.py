@@ -5,7 +5,7 @@ import os
 from fixreg.plans.assets import convert_register, create_assets, publish_assets
 from fixreg.sources.layout import get_layout
 
-from conftest import render, write_latin1
+from registerfiles import render, write_latin1
 from test_enrich import A5
 
 

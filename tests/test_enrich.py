@@ -11,7 +11,7 @@ from fixreg.plans import enrich as E
 from fixreg.sources.fixed_width import read_fixed_width
 from fixreg.sources.layout import get_layout
 
-from conftest import render, write_latin1
+from registerfiles import render, write_latin1
 
 
 @pytest.mark.parametrize("text,label", [

@@ -9,7 +9,7 @@ from fixreg.sources.fixed_width import garbage_rows, parse_fixed_width, read_dir
 from fixreg.sources.layout import ColumnSpec, Layout, get_layout, layouts_in, resolve_layout
 from fixreg.streaming import convert_stream
 
-from conftest import render, write_latin1
+from registerfiles import render, write_latin1
 
 LAY = Layout("Dec_test", (
     ColumnSpec("code", 1, 4, "string"),

@@ -10,7 +10,7 @@ from fixreg.operators import crosswalk, lookup_join
 from fixreg.sources.fixed_width import read_fixed_width
 from fixreg.sources.layout import ColumnSpec, Layout
 
-from conftest import render, write_latin1
+from registerfiles import render, write_latin1
 
 LAY = Layout("Dec_prop", (
     ColumnSpec("code", 1, 6, "string"),
