@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fixreg.session import scratch_path
+from fixreg.session import remove_path, scratch_path
 
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
@@ -31,14 +31,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one operator in a folder of its own below ``spark.checkpoint.dir``.
+
+    ``write`` cuts the lineage in shared storage.  ``drop`` removes tables as
+    soon as nothing reads them any more; the rest stays for the result, which
+    is computed later, until ``clean_scratch``.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.base = spark, scratch_path(spark, name)
+        _WRITTEN.append((spark, self.base))
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.base}/{name}")
+        self.spark.sparkContext._jvm.System.gc()  # else the write's shuffle files stay until the driver collects garbage
+        return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            remove_path(self.spark, f"{self.base}/{name}")
+
+
 def clean_scratch() -> None:
     """Remove every scratch table written so far.  Call it once the results
     that were built on them are written."""
     while _WRITTEN:
-        spark, path = _WRITTEN.pop()
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        remove_path(*_WRITTEN.pop())
 
 
 def fresh(df: DataFrame, name: str) -> str:
