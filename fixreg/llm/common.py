@@ -7,6 +7,7 @@ repeated or null id means.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,6 +32,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the shuffle files of finished jobs removed now.
+
+    Spark removes them once the driver has collected the plans that refer to
+    them, which may take long on a driver with little to do.  The first
+    collection clears the caches that hold a plan, the second the plan."""
+    for wait in (0.1, 0):
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(wait)
+
+
 class Scratch:
     """Tables of one operator in a folder of its own below ``spark.checkpoint.dir``.
 
@@ -45,7 +57,7 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{self.base}/{name}")
-        self.spark.sparkContext._jvm.System.gc()  # else the write's shuffle files stay until the driver collects garbage
+        release_shuffles(self.spark)
         return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
 
     def drop(self, *names: str) -> None:
