@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, linededup, pieces, pii, secrets, simhash, substrings, topk, toxicity
+from . import chat, decontaminate, licenses, linededup, pieces, pii, repair, secrets, simhash, substrings, topk, toxicity
 from .common import table
 
 
@@ -73,9 +73,15 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(substrings.repeated_passages(table(spark, sf_dir, "documents")))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired."""
+    return repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_sentencepiece, op3_decontamination, op4_line_dedup, op5_license_scan, op6_toxicity, op7_pii_scan,
-    op8_chat_formatting, op9_simhash, op10_exact_top_k, op12_substring_dedup)}
+    op8_chat_formatting, op9_simhash, op10_exact_top_k, op12_substring_dedup,
+    op13_conversation_repair)}
 
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _ESCAPED = r"replace(replace(replace(replace(replace({}, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')"
