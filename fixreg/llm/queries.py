@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, linededup, pieces, pii, repair, secrets, simhash, substrings, topk, toxicity
+from . import chat, decontaminate, lexical, licenses, linededup, pieces, pii, repair, secrets, simhash, substrings, topk, toxicity
 from .common import table
 
 
@@ -68,6 +68,11 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(topk.floored(table(spark, sf_dir, "embeddings")))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents for every benchmark item."""
+    return lexical.lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages that were said before, of every document."""
     return substrings.digests(substrings.repeated_passages(table(spark, sf_dir, "documents")))
@@ -80,8 +85,8 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_sentencepiece, op3_decontamination, op4_line_dedup, op5_license_scan, op6_toxicity, op7_pii_scan,
-    op8_chat_formatting, op9_simhash, op10_exact_top_k, op12_substring_dedup,
-    op13_conversation_repair)}
+    op8_chat_formatting, op9_simhash, op10_exact_top_k, op11_lexical_search,
+    op12_substring_dedup, op13_conversation_repair)}
 
 _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _ESCAPED = r"replace(replace(replace(replace(replace({}, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')"
@@ -117,4 +122,16 @@ SQL: dict[str, str] = {
               FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_lexical_search": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        s AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+        p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY ALL),
+        f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+        i AS (SELECT item_id, term, count(*) AS qtf FROM (SELECT item_id, unnest({_WORDS}) AS term FROM benchmark) GROUP BY ALL),
+        g AS (SELECT item_id, term, qtf * CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS gain FROM i JOIN f USING (term), s),
+        m AS (SELECT doc_id, 75 + (25 * CAST(len(w) AS BIGINT) * n_docs) // n_terms AS m FROM d, s),
+        r AS (SELECT item_id, doc_id, CAST(sum(gain * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+              FROM g JOIN p USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+        k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 20""",
 }
