@@ -113,7 +113,8 @@ def _text_order(docs: DataFrame) -> DataFrame:
 
 
 def repeated_starts(texts: DataFrame, scratch: Scratch, window: int, gram: int) -> DataFrame:
-    """(text_no, starts): the starts of the windows of ``texts`` (text_no, text) that also start earlier."""
+    """(text_no, starts): the starts of the windows of ``texts`` (text_no, text) that also start earlier.  ``texts`` is the
+    table of that name in ``scratch``, and goes."""
 
     def grams(batches):
         for batch in batches:
@@ -132,15 +133,17 @@ def repeated_starts(texts: DataFrame, scratch: Scratch, window: int, gram: int)
 
     screened = scratch.write(texts.select("text_no", "text").mapInArrow(grams, "text_no long, gram long, twice boolean"), "grams")
     often = screened.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("twice")).where("n > 1 OR twice").select("gram")
+    often = scratch.write(often, "often")  # a written table on either side lets the skew split deal out a hot gram
     wanted = scratch.write(screened.join(often, "gram", "left_semi").groupBy("text_no").agg(F.collect_list("gram").alias("wanted")), "wanted")
-    scratch.drop("grams")
+    scratch.drop("grams", "often")
     windows = texts.join(wanted, "text_no").select("text_no", "text", "wanted").mapInArrow(hashes, "text_no long, place int, w1 long, w2 long")
     windows = scratch.write(windows, "windows")
-    scratch.drop("wanted")
+    scratch.drop("wanted", "texts")
     first = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("text_no", "place")).alias("first")).where("n > 1").select("w1", "w2", "first")
+    first = scratch.write(first, "first")
     again = windows.join(first, ["w1", "w2"]).where("text_no <> first.text_no OR place <> first.place")
     starts = scratch.write(again.groupBy("text_no").agg(F.sort_array(F.collect_list("place")).alias("starts")), "starts")
-    scratch.drop("windows")
+    scratch.drop("windows", "first")
     return starts
 
 
@@ -173,7 +176,6 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     order = scratch.write(_text_order(enough), "order")
     texts = enough.groupBy("h1", "h2").agg(F.first("text").alias("text")).join(order.select("h1", "h2", "text_no"), ["h1", "h2"])
     starts = repeated_starts(scratch.write(texts.select("text_no", "text"), "texts"), scratch, window, gram)
-    scratch.drop("texts")
 
     @F.pandas_udf("n_words long, begins array<int>, ends array<int>, kept string")
     def cut(text: pd.Series, copy: pd.Series, starts: pd.Series) -> pd.DataFrame:
