@@ -24,14 +24,12 @@ from pyspark.sql import functions as F
 
 from fixreg.functions.exprs import fail_if, zero_pad
 from fixreg.operators.joins import CheckFailed, lookup_join, require_columns
-from fixreg.session import drop_scratch, write_scratch
+from fixreg.session import ScratchSpace, session_space
 
 PERSON_ID = "PersoonsgebondenNummer"
 # Columns holding direct identifiers, blanked on export.
 SENSITIVE_COLUMNS = ("Onderwijsnummer", "Burgerservicenummer")
 PSEUDO_WIDTH = 7
-# Names of the scratch tables that hold raw ids.
-RANKING, CROSSWALK = "crosswalk-ranking", "crosswalk"
 
 
 def _check_salt(salt: str) -> None:
@@ -45,17 +43,19 @@ def salted_hash(c: str | Column, salt: str) -> Column:
     return F.sha2(F.concat(F.lit(salt), col.cast("string")), 256)
 
 
-def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "rank") -> DataFrame:
+def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "rank", *, scratch: ScratchSpace | None = None) -> DataFrame:
     """Exact 1-based rank of every row under ``order`` (a total order).
 
     Equivalent to ``row_number() over (order by …)`` without funnelling all
-    rows through one task.
+    rows through one task.  The sorted rows are a table of ``scratch`` (the
+    session's space by default).
     """
+    scratch = scratch or session_space(df.sparkSession)
     pid = F.spark_partition_id()
     idx = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
     # A row's place in its partition is stored with it: the order is total, so
     # a partition computed again after a loss has the same rows and places.
-    local = write_scratch(df.orderBy(*[F.col(o).asc_nulls_last() for o in order]).select("*", pid.alias("__pid"), idx.alias("__idx")), RANKING)
+    local = scratch.write(df.orderBy(*[F.col(o).asc_nulls_last() for o in order]).select("*", pid.alias("__pid"), idx.alias("__idx")), "ranking")
     counts = local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # One row per partition: a cumulative sum over a table of that size is cheap.
     offsets = counts.select(
@@ -73,6 +73,7 @@ def crosswalk(
     salt: str,
     pseudo_col: str | None = None,
     width: int = PSEUDO_WIDTH,
+    scratch: ScratchSpace | None = None,
 ) -> DataFrame:
     """Permutation crosswalk ``(id, pseudo)`` over the distinct ids.
 
@@ -80,10 +81,10 @@ def crosswalk(
     equal.  Pseudo ids are zero-padded to ``width`` without truncating
     longer ids.
 
-    The crosswalk is a scratch table in shared storage and names every person;
-    ``drop_scratch(spark, CROSSWALK)`` removes it once the pseudonymised
-    tables are written (``convert_register`` does).  The rankings behind it
-    are removed here.
+    The crosswalk is a table of ``scratch`` and names every person: close the
+    space once the pseudonymised tables are written (``convert_register``
+    does).  Without one it belongs to the session's space.  The rankings
+    behind it are removed here, whether the crosswalk succeeds or not.
     """
     _check_salt(salt)
     require_columns(ids, [id_col], "crosswalk")
@@ -93,22 +94,23 @@ def crosswalk(
         .filter(fail_if(F.col("__id").isNull(), f"crosswalk: {id_col} has null values"))
         .distinct()
     )
-    by_id = global_rank(distinct, ["__id"], "__r")
-    # The second ranking reads the ids from the first one's checkpoint, so
-    # the source tables are scanned and de-duplicated once.
-    ids_once = by_id.select("__id")
-    # Padding may map a short id onto another id ("12345" → "0012345"); the
-    # pseudo ids would then not be unique.  Only ids shorter than ``width``
-    # can collide, so only they are checked (none in 12-digit registers).
-    short = ids_once.filter(F.length("__id") < width).select(zero_pad("__id", width).alias("__id"))
-    if short.join(ids_once, "__id", "left_semi").limit(1).count():
-        raise CheckFailed(f"crosswalk: zero-padding to {width} makes two {id_col} values equal")
-    by_hash = global_rank(ids_once.withColumn("__h", salted_hash("__id", salt)), ["__h", "__id"], "__r")
-    out = write_scratch(by_id.join(by_hash.select("__r", F.col("__id").alias("__p")), "__r").select(
-        F.col("__id").alias(id_col), zero_pad("__p", width).alias(pseudo_col)
-    ), CROSSWALK)
-    drop_scratch(ids.sparkSession, RANKING)  # raw ids beside their salted hashes
-    return out
+    spark = ids.sparkSession
+    scratch = scratch or session_space(spark)
+    with ScratchSpace(spark, "crosswalk-ranking") as work:  # raw ids beside their salted hashes
+        by_id = global_rank(distinct, ["__id"], "__r", scratch=work)
+        # The second ranking reads the ids from the first one's table, so
+        # the source tables are scanned and de-duplicated once.
+        ids_once = by_id.select("__id")
+        # Padding may map a short id onto another id ("12345" → "0012345"); the
+        # pseudo ids would then not be unique.  Only ids shorter than ``width``
+        # can collide, so only they are checked (none in 12-digit registers).
+        short = ids_once.filter(F.length("__id") < width).select(zero_pad("__id", width).alias("__id"))
+        if short.join(ids_once, "__id", "left_semi").limit(1).count():
+            raise CheckFailed(f"crosswalk: zero-padding to {width} makes two {id_col} values equal")
+        by_hash = global_rank(ids_once.withColumn("__h", salted_hash("__id", salt)), ["__h", "__id"], "__r", scratch=work)
+        return scratch.write(by_id.join(by_hash.select("__r", F.col("__id").alias("__p")), "__r").select(
+            F.col("__id").alias(id_col), zero_pad("__p", width).alias(pseudo_col)
+        ), "crosswalk")
 
 
 def replace_id(df: DataFrame, xwalk: DataFrame, id_col: str = PERSON_ID, pseudo_col: str | None = None) -> DataFrame:
@@ -144,13 +146,15 @@ def pseudonymise(
     id_col: str = PERSON_ID,
     crosswalk_from: Sequence[str] | None = None,
     blank: Sequence[str] = SENSITIVE_COLUMNS,
+    scratch: ScratchSpace | None = None,
 ) -> dict[str, DataFrame]:
     """One consistent id replacement over several tables, PII blanked.
 
     The crosswalk covers the union of the ids of ``crosswalk_from`` (default:
     every table, so exam rows of people without an enrolment keep a pseudo
     id — ledger L14).  It runs for any set of tables, also exam subjects
-    alone (L12).  Tables without the id column are only blanked.
+    alone (L12).  Tables without the id column are only blanked.  In
+    ``permute`` mode the results read the crosswalk, a table of ``scratch``.
     """
     if mode not in ("hash", "permute"):
         raise ValueError("mode must be hash or permute")
@@ -166,7 +170,7 @@ def pseudonymise(
     ids = sources[0].select(F.col(id_col).cast("string").alias(id_col))
     for s in sources[1:]:
         ids = ids.unionByName(s.select(F.col(id_col).cast("string").alias(id_col)))
-    xw = crosswalk(ids, id_col, salt=salt)
+    xw = crosswalk(ids, id_col, salt=salt, scratch=scratch)
     for n, t in tables.items():
         out[n] = blank_columns(replace_id(t, xw, id_col) if n in with_id else t, blank)
     return out

@@ -7,7 +7,9 @@ second-year table, whose uniqueness is checked inside its join (J1).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +17,7 @@ from fixreg.functions.codes import COHORT_TYPE_BY_FLAG, LEVEL_BY_HE_TYPE
 from fixreg.functions.exprs import as_int, eq, fail_if, flag, recode, truthy
 from fixreg.operators.first_per_key import first_per_key
 from fixreg.operators.joins import CheckFailed, lookup_join, require_columns
-from fixreg.session import write_scratch
+from fixreg.session import ScratchSpace, session_space
 
 PERSON = "PersoonsgebondenNummer"
 YEAR = "Inschrijvingsjaar"
@@ -47,24 +49,37 @@ def is_main_enrolment(df_col: str = "SoortInschrijvingHogerOnderwijs"):
     return truthy(as_int(df_col) == 1)
 
 
+# The roles a row of the enriched table can have (K1, K2, K3, K5).
+def in_intake() -> Column:
+    return truthy(F.col("IndicatieActiefOpPeildatum") == 1) & is_main_enrolment() & eq(YEAR, FIRST_YEAR)
+
+
+def in_second_year() -> Column:
+    return eq(YEAR, F.col(FIRST_YEAR) + 1) & is_main_enrolment()
+
+
+def has_propaedeutic() -> Column:
+    return F.col(AWARD_YEAR).isNotNull() & eq(AWARD_PHASE, F.lit("D"))
+
+
+def has_bachelor() -> Column:
+    return F.coalesce(F.col(AWARD_YEAR) != 0, F.lit(True)) & eq(AWARD_PHASE, F.lit("B"))
+
+
 def intake(enr: DataFrame) -> DataFrame:
     """K1: active on the reference date, main enrolment, first year at the institution."""
-    return enr.filter(
-        truthy(F.col("IndicatieActiefOpPeildatum") == 1) & is_main_enrolment() & eq(YEAR, FIRST_YEAR)
-    )
+    return enr.filter(in_intake())
 
 
 def second_year(enr: DataFrame) -> DataFrame:
     """K2: main enrolments in the year after the first year at the institution
     (G6 filter, G7 projection, G12 year arithmetic)."""
-    return enr.filter(eq(YEAR, F.col(FIRST_YEAR) + 1) & is_main_enrolment()).select(
-        PERSON, PROGRAMME, INSTITUTION, MODE, CURRENT_CODE
-    )
+    return enr.filter(in_second_year()).select(PERSON, PROGRAMME, INSTITUTION, MODE, CURRENT_CODE)
 
 
 def first_propaedeutic(enr: DataFrame) -> DataFrame:
     """K3: earliest propaedeutic diploma per person."""
-    p = enr.filter(F.col(AWARD_YEAR).isNotNull() & eq(AWARD_PHASE, F.lit("D"))).select(
+    p = enr.filter(has_propaedeutic()).select(
         PERSON, CURRENT_CODE, FIRST_YEAR, AWARD_DATE, PROGRAMME, AWARD_YEAR
     )
     return first_per_key(p, [PERSON], [AWARD_YEAR, AWARD_DATE, PROGRAMME]).withColumnRenamed(
@@ -74,7 +89,7 @@ def first_propaedeutic(enr: DataFrame) -> DataFrame:
 
 def bachelor_awards(enr: DataFrame) -> DataFrame:
     """K5: bachelor diplomas; a missing award year passes ``!= 0`` (ledger L9)."""
-    return enr.filter(F.coalesce(F.col(AWARD_YEAR) != 0, F.lit(True)) & eq(AWARD_PHASE, F.lit("B"))).select(
+    return enr.filter(has_bachelor()).select(
         PERSON, CURRENT_CODE, PROGRAMME, AWARD_DATE, AWARD_YEAR, MODE, "Aantal"
     )
 
@@ -211,47 +226,68 @@ def _prepared(enr: DataFrame) -> DataFrame:
     return enr.filter(fail_if(F.col(PERSON).isNull(), f"cohort input: {PERSON} is null"))
 
 
-def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
-    return df.select(PERSON, *[F.col(c).alias(c + suffix) for c in df.columns if c != PERSON])
+def _row(*columns: str) -> Column:
+    """Columns as one value that sorts by them, nulls last."""
+    return F.struct(*[x for c in columns for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))])
 
 
 def person_facts(enr: DataFrame) -> DataFrame:
-    """What the cohort takes per person: second year (its uniqueness checked,
-    J1), propaedeutic, first award.  One row per person of the intake, so no
-    person is hot here: the intake's persons are de-duplicated map-side."""
-    facts = intake(enr).select(PERSON).distinct()
-    facts = lookup_join(facts, _suffixed(second_year(enr), YEAR2_SUFFIX), [PERSON], null_safe=False, name="second-year enrolment")
-    facts = facts.join(propaedeutic_years(first_propaedeutic(enr)), F.col(PERSON) == F.col("__pp"), "left").drop("__pp")
-    return lookup_join(facts, _suffixed(first_award(bachelor_awards(enr)), ANY_AWARD_SUFFIX), [PERSON], null_safe=False, on_duplicate="ignore")
+    """What the cohort takes per person, for every person of the intake: second
+    year (its uniqueness checked, J1), propaedeutic, first award (K2, K3, K7).
+
+    One conditional aggregate: a row counts for each role it has, and each
+    role keeps the least row in its order.  Rows without a role are filtered
+    at the scan; minima and counts are taken map-side, so a hot person ships
+    one row per map task, through the only exchange."""
+    roles = {"intake": in_intake(), "second": in_second_year(), "first_p": has_propaedeutic(), "award": has_bachelor()}
+    least = {
+        "second": _row(PROGRAMME, INSTITUTION, MODE, CURRENT_CODE),
+        "first_p": _row(AWARD_YEAR, AWARD_DATE, PROGRAMME, CURRENT_CODE, FIRST_YEAR),
+        "award": _row(AWARD_YEAR, AWARD_DATE, PROGRAMME, CURRENT_CODE, MODE, "Aantal"),
+    }
+    wanted = reduce(lambda a, b: a | b, roles.values())
+    facts = enr.filter(wanted).groupBy(PERSON).agg(
+        F.count_if(roles["intake"]).alias("__intakes"), F.count_if(roles["second"]).alias("__seconds"),
+        *[F.min(F.when(roles[r], row)).alias(f"__{r}") for r, row in least.items()])
+    facts = facts.filter(F.col("__intakes") > 0).filter(
+        fail_if(F.col("__seconds") > 1, f"second-year enrolment: a key ({PERSON}) matches more than one row"))
+    year = F.col(f"__first_p.{AWARD_YEAR}")
+    return facts.select(
+        PERSON,
+        *[F.col(f"__second.{c}").alias(c + YEAR2_SUFFIX) for c in (PROGRAMME, INSTITUTION, MODE, CURRENT_CODE)],
+        *[F.when(F.col("__first_p").isNotNull(), eq(year, F.col(f"__first_p.{FIRST_YEAR}") + n)).alias(f"__p{n + 1}") for n in (0, 1)],
+        *[F.col(f"__award.{c}").alias(c + ANY_AWARD_SUFFIX) for c in (CURRENT_CODE, PROGRAMME, AWARD_DATE, AWARD_YEAR, MODE, "Aantal")],
+    )
 
 
-def _indicators(enr: DataFrame, materialize: bool) -> DataFrame:
-    keep = write_scratch if materialize else lambda df, _: df
+def _indicators(enr: DataFrame, keep) -> DataFrame:
     facts, same = keep(person_facts(enr), "cohort-persons"), keep(first_award_by_programme(bachelor_awards(enr)), "cohort-awards")
     base = intake(enr).join(facts, PERSON, "left")
     base = add_reenrolled_with_propaedeutic(_propaedeutic_flags(add_retention_flags(base)))
     return finalize(add_status(_with_same_programme(_award_flags(base), same)))
 
 
-def build_cohort(enr: DataFrame, *, observed_until: int | None = None, materialize: bool = True, stored: bool = False) -> DataFrame:
+def build_cohort(enr: DataFrame, *, observed_until: int | None = None, materialize: bool = True, stored: bool = False,
+                 scratch: ScratchSpace | None = None) -> DataFrame:
     """The cohort table: K1 → K4 → K9–K12 → K6 → K13 → K7 → K8 → K14 → K15.
 
     Every column of the intake row is carried, and the indicators are added.
     With ``materialize`` (default) the input (unless it is ``stored`` already)
-    and the two right sides are written to the scratch folder in shared
-    storage: the enrichment runs once instead of once per branch, a lost
-    executor costs a re-read, and the intake meets each right side in a plain
-    join of two shuffled tables.  ``drop_scratch`` removes the tables once the
-    cohort is written.
+    and the two right sides are written as tables of ``scratch`` (default: the
+    session's space): the enrichment runs once instead of once per branch, a
+    lost executor costs a re-read, and the intake meets each right side in a
+    plain join of two shuffled tables.  Close the space once the cohort is
+    written.
 
     A person with very many rows stays cheap: the right sides hold one row
     per person (or person and programme) and are limited map-side before the
     shuffle, and the skew split of the join divides the person's intake rows.
     """
     base = _prepared(enr)
+    scratch = scratch or (session_space(enr.sparkSession) if materialize else None)
     if materialize and not stored:
-        base = write_scratch(base, "cohort-input")
-    out = _indicators(base, materialize)
+        base = scratch.write(base, "cohort-input")
+    out = _indicators(base, scratch.write if materialize else lambda df, _: df)
     if observed_until is not None:
         out = censor_unobserved(out, observed_until)
     return out

@@ -12,7 +12,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fixreg.functions.codes import (
@@ -36,6 +36,9 @@ log = logging.getLogger(__name__)
 
 PRIOR_KINDS = ("HoogsteVooropleiding", "HoogsteVooroplVoorHetHo", "HoogsteVooroplBinnenHetHo")
 UNKNOWN = "onbekend"
+MATCHED = "__matched"
+# Codes without a local name are noted in bitmaps: this many of this many bits cover numbers of five digits.
+BITMAPS, BITS = 4, 32768
 
 
 @dataclass
@@ -140,19 +143,41 @@ def add_programme_type(enr: DataFrame) -> DataFrame:
     return enr.withColumn("TypeOpleiding", programme_type_of("Opleidingsfase"))
 
 
-def add_local_names(enr: DataFrame, local_names: DataFrame) -> DataFrame:
-    """Local programme and faculty names by current code."""
-    return lookup_join(enr, local_names, [("OpleidingActueelEquivalent", "Opleidingscode")], suffix="_naam",
-                       name="local programme names")
+def add_local_names(enr: DataFrame, local_names: DataFrame, unmatched: Observation | None = None) -> DataFrame:
+    """Local programme and faculty names by current code.
 
+    ``unmatched`` notes, during the job that computes the result, which codes
+    found no name (``observed_unmatched``)."""
+    if unmatched is not None:
+        local_names = local_names.withColumn(MATCHED, F.lit(True))
+    out = lookup_join(enr, local_names, [("OpleidingActueelEquivalent", "Opleidingscode")], suffix="_naam",
+                      name="local programme names")
+    if unmatched is None:
+        return out
+    code = F.col("OpleidingActueelEquivalent").try_cast("bigint")
+    missed, fits = F.col(MATCHED).isNull(), truthy(code.between(1, BITS * BITMAPS))
+    metrics = [F.count_if(missed).alias("rows"), F.count_if(missed & ~fits).alias("beyond")]
+    metrics += [F.bitmap_construct_agg(F.when(missed & fits & (F.bitmap_bucket_number(code) == k + 1), F.bitmap_bit_position(code))).alias(f"codes_{k}")
+                for k in range(BITMAPS)]
+    return out.observe(unmatched, *metrics).drop(MATCHED)
 
-def programmes_without_local_name(enr: DataFrame, local_names: DataFrame) -> DataFrame:
-    """E11 report: distinct programmes that have no local name."""
-    return (
-        anti_join(enr, local_names, [("OpleidingActueelEquivalent", "Opleidingscode")])
-        .select("OpleidingActueelEquivalent", "NaamOpleidingCroho")
-        .distinct()
-    )
+
+def observed_unmatched(unmatched: Observation) -> list[int] | None:
+    """The codes without a local name that a finished job noted; None if one
+    of them is no number of five digits and the notes have no place for it."""
+    got = unmatched.get
+    if got["beyond"]:
+        return None
+    return [k * BITS + 8 * byte + bit + 1 for k in range(BITMAPS) for byte, held in enumerate(got[f"codes_{k}"]) if held
+            for bit in range(8) if held >> bit & 1]
+
+
+def programmes_without_local_name(enr: DataFrame, local_names: DataFrame, codes: list[int] | None = None) -> DataFrame:
+    """E11 report: distinct programmes that have no local name.  ``codes``
+    are theirs, if known; else they are found by an anti-join."""
+    found = (anti_join(enr, local_names, [("OpleidingActueelEquivalent", "Opleidingscode")]) if codes is None
+             else enr.filter(F.col("OpleidingActueelEquivalent").try_cast("bigint").isin(codes)))
+    return found.select("OpleidingActueelEquivalent", "NaamOpleidingCroho").distinct()
 
 
 def pa_cohort_predicates(enr: DataFrame):
@@ -189,8 +214,8 @@ def add_isced(enr: DataFrame, dec_ho_isced: DataFrame) -> DataFrame:
 
 
 def enrich_enrolments(enr: DataFrame, lookups: Lookups, *, prior_field: str = "HoogsteVooropleiding",
-                      on_missing_name: str = "fail") -> DataFrame:
-    """The enrichment chain, in the register's order."""
+                      on_missing_name: str = "fail", unmatched: Observation | None = None) -> DataFrame:
+    """The enrichment chain, in the register's order; ``unmatched`` notes the codes without a local name."""
     out = enr.withColumn("Aantal", F.lit(1))
     out = add_prior_education(out, lookups.dec_vopl, prior_field)
     out = add_prior_institution(out, lookups.dec_brinvestigingsnummer, prior_field)
@@ -201,7 +226,7 @@ def enrich_enrolments(enr: DataFrame, lookups: Lookups, *, prior_field: str = "H
     out = first_year_degree(out)
     out = add_programme_type(out)
     if lookups.local_names is not None:
-        out = add_local_names(out, lookups.local_names)
+        out = add_local_names(out, lookups.local_names, unmatched)
     out = add_pa_cohort(out)
     out = add_isced(out, lookups.dec_ho_isced)
     log.info("enrichment added columns: %s", added_columns(enr, out))

@@ -65,24 +65,68 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/fixreg-{name}-{uuid.uuid4().hex[:12]}"
 
 
-_SCRATCH: dict[str, str] = {}  # path → name of the tables written and not yet dropped
+class ScratchSpace:
+    """Scratch tables of one owner, with one life span.
 
+    The tables lie in a folder of the space's own below the shared checkpoint
+    folder, so nobody else's clean-up touches them and ``close`` removes all
+    of them, the remains of a failed write too.  Use it as a context manager
+    around the work that reads the tables::
+
+        with ScratchSpace(spark, "convert") as scratch:
+            ids = scratch.write(ids, "ids")   # cuts the lineage
+            ...
+    """
+
+    def __init__(self, spark: SparkSession, owner: str):
+        self.spark = spark
+        self.path = scratch_path(spark, owner)
+        self._tables: list[tuple[str, str]] = []  # (name, path), listed before they are written
+
+    def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+        """``df`` as a Parquet table of the space; a failed write leaves nothing."""
+        path = f"{self.path}/{len(self._tables)}-{name}"
+        self._tables.append((name, path))
+        writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+        try:
+            writer.parquet(path)
+        except Exception:
+            remove_path(self.spark, path)
+            raise
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str) -> None:
+        """Remove the space's tables called ``name``."""
+        for n, path in self._tables:
+            if n == name:
+                remove_path(self.spark, path)
+
+    def close(self) -> None:
+        remove_path(self.spark, self.path)
+
+    def __enter__(self) -> ScratchSpace:
+        return self
+
+    def __exit__(self, *_exc) -> None:
+        self.close()
+
+
+_SESSION_SPACES: dict[str, ScratchSpace] = {}  # by application
 
-def write_scratch(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table below the shared checkpoint folder.
 
-    The write cuts the lineage; ``drop_scratch`` removes the table."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    _SCRATCH[path] = name
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def session_space(spark: SparkSession) -> ScratchSpace:
+    """The space of tables whose caller named no owner; it lives until ``close_session_space``."""
+    app = spark.sparkContext.applicationId
+    if app not in _SESSION_SPACES:
+        _SESSION_SPACES[app] = ScratchSpace(spark, "session")
+    return _SESSION_SPACES[app]
 
 
-def drop_scratch(spark: SparkSession, name: str | None = None) -> None:
-    """Remove the scratch tables called ``name`` (all, if None)."""
-    for path in [p for p, n in _SCRATCH.items() if name in (None, n)]:
-        remove_path(spark, path)
-        del _SCRATCH[path]
+def close_session_space(spark: SparkSession) -> None:
+    """Remove what the session's space holds; results not written by then can't be computed any more."""
+    space = _SESSION_SPACES.pop(spark.sparkContext.applicationId, None)
+    if space:
+        space.close()
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

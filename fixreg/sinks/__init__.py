@@ -7,8 +7,11 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Mapping
+import uuid
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor, as_completed
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +20,29 @@ from fixreg.session import remove_path
 log = logging.getLogger(__name__)
 
 FORMATS = ("parquet", "csv")
+CANCELLED = "cancelled, as another table failed"
 
 
-def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-    """W1."""
+def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: list[str] | None = None,
+                  balanced: bool = False, max_rows_per_file: int | None = None, changed_only: bool = False) -> None:
+    """W1.
+
+    ``balanced`` deals the rows out anew before the write, by ``partition_by``
+    if given: small pieces are merged and a value with very many rows is split
+    over several tasks, so files have about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` whatever the skew;
+    ``max_rows_per_file`` bounds them by rows as well.  ``changed_only``
+    replaces only the partitions (years, say) that ``df`` has rows of.
+    """
+    if changed_only and not (partition_by and mode == "overwrite"):
+        raise ValueError("changed_only needs partition_by and mode='overwrite'")
+    if balanced:
+        df = df.hint("rebalance", *(partition_by or []))
     w = df.write.mode(mode)
+    if max_rows_per_file:
+        w = w.option("maxRecordsPerFile", max_rows_per_file)
+    if changed_only:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -54,29 +75,67 @@ class ExportFailed(RuntimeError):
         super().__init__("; ".join(f"{n}: {s}" for n, s in status.items() if s.startswith("failed")))
 
 
-def export_tables(tables: Mapping[str, DataFrame], target_dir: str, fmt: str = "parquet") -> dict[str, str]:
+def failure(exc: Exception) -> str:
+    said = str(exc).strip()
+    return f"failed: {type(exc).__name__}: {said.splitlines()[0][:300] if said else ''}"
+
+
+def _export(df: DataFrame, path: str, fmt: str) -> str:
+    rows = Observation()
+    try:
+        write_table(df.observe(rows, F.count(F.lit(1)).alias("rows")), path, fmt)
+    except Exception:
+        remove_path(df.sparkSession, path)
+        raise
+    if rows.get.get("rows", 0):
+        return "written"
+    remove_path(df.sparkSession, path)
+    return "empty, skipped"
+
+
+def export_tables(tables: Mapping[str, DataFrame], target_dir: str, fmt: str = "parquet", *,
+                  at_once: int = 4, cancel_on_failure: bool = False) -> dict[str, str]:
     """Write every table, skip empty ones; returns a status per table.
 
     Each table is computed once: the write counts its rows.  An empty table's
     target is removed.  A table that fails leaves no target either; the others
-    are still written, then ``ExportFailed`` names what failed and why.
+    are still written, then ``ExportFailed`` names what failed and why.  With
+    ``cancel_on_failure`` a failure cancels the tables not yet written.
+
+    ``at_once`` tables are submitted at a time, each in a scheduler pool of
+    its own (equal shares under ``spark.scheduler.mode=FAIR``), so the last
+    tasks of one table don't leave the cluster idle.
     """
-    status: dict[str, str] = {}
-    for name, df in tables.items():
-        path = f"{target_dir.rstrip('/')}/{table_name(name)}"
-        rows = Observation()
+    if not tables:
+        return {}
+    sc = next(iter(tables.values())).sparkSession.sparkContext
+    tag = f"fixreg-export-{uuid.uuid4().hex[:12]}"
+    stop: list[str] = []
+    status = dict.fromkeys(tables, CANCELLED)
+
+    def one(name: str, df: DataFrame) -> str:
+        if stop:
+            return CANCELLED
+        sc.setLocalProperty("spark.scheduler.pool", f"{tag}-{name}")
+        sc.addJobTag(tag)
         try:
-            write_table(df.observe(rows, F.count(F.lit(1)).alias("rows")), path, fmt)
+            return _export(df, f"{target_dir.rstrip('/')}/{table_name(name)}", fmt)
         except Exception as exc:  # raised below, after the other tables
+            if stop:
+                return CANCELLED
             log.warning("export of %s failed: %s", name, exc)
-            status[name] = f"failed: {type(exc).__name__}: {str(exc).strip().splitlines()[0][:300] if str(exc).strip() else ''}"
-            remove_path(df.sparkSession, path)
-            continue
-        if rows.get.get("rows", 0):
-            status[name] = "written"
-        else:
-            remove_path(df.sparkSession, path)
-            status[name] = "empty, skipped"
+            return failure(exc)
+        finally:
+            sc.removeJobTag(tag)
+            sc.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max(1, min(at_once, len(tables)))) as pool:
+        jobs = {pool.submit(inheritable_thread_target(next(iter(tables.values())).sparkSession)(one), n, df): n for n, df in tables.items()}
+        for job in as_completed(jobs):
+            status[jobs[job]] = job.result()
+            if cancel_on_failure and status[jobs[job]].startswith("failed") and not stop:
+                stop.append(jobs[job])
+                sc.cancelJobsWithTag(tag)
     if any(s.startswith("failed") for s in status.values()):
         raise ExportFailed(status)
     return status
@@ -96,27 +155,61 @@ def table_folders(spark: SparkSession, directory: str) -> list[str]:
     return [n for n in names if not n.startswith(("_", "."))]
 
 
-def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], database: str, *,
-                   location: str | None = None, replace_database: bool = False) -> list[str]:
-    """One catalog table per DataFrame (names normalised).
+_VERSIONED = re.compile(r"(.+)__v[0-9a-f]{12}$")
 
-    With ``location`` the tables are external, stored below that folder.
-    ``replace_database`` drops the database first, as the register tool
-    replaces its database file.
+
+def publish_tables(spark: SparkSession, tables: Mapping[str, DataFrame], database: str, *,
+                   location: str | None = None, replace_database: bool = False, keep: Sequence[str] = ()) -> list[str]:
+    """One catalog name per DataFrame (names normalised).
+
+    A name is a view over a versioned table ``name__v…``.  All new versions
+    are written first; only when every one is complete are the views swapped,
+    and only then do the versions they replace go.  If a table fails, its
+    siblings' new versions are removed and the names show what they showed
+    before.  With ``location`` the tables are external, stored below that
+    folder.  ``replace_database`` also drops the names that are not published
+    any more (but those in ``keep``), as the register tool replaces its
+    database file, again after the new ones stand.
     """
-    if replace_database:
-        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    version = uuid.uuid4().hex[:12]
     where = f" LOCATION '{location.rstrip('/')}/{database}.db'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
-    written = []
-    for name, df in tables.items():
-        t = table_name(name)
-        w = df.write.mode("overwrite").format("parquet")
-        if location:
-            w = w.option("path", f"{location.rstrip('/')}/{t}")
-        w.saveAsTable(f"{database}.{t}")
-        written.append(f"{database}.{t}")
-    return written
+    new: dict[str, str] = {}
+    try:
+        for name, df in tables.items():
+            t = table_name(name)
+            full = f"{database}.{t}__v{version}"
+            w = df.write.format("parquet")
+            if location:
+                w = w.option("path", f"{location.rstrip('/')}/{t}__v{version}")
+            new[t] = full
+            w.saveAsTable(full)
+    except Exception:
+        for t, full in new.items():
+            _drop_version(spark, full, location)
+        raise
+    before = {x.name.lower(): x.tableType for x in spark.catalog.listTables(database) if not x.name.endswith(version)}
+    for t, full in new.items():
+        if before.get(t.lower(), "VIEW") != "VIEW":  # a table from before there were versions
+            spark.sql(f"DROP TABLE {database}.`{t}`")
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.`{t}` AS SELECT * FROM {full}")
+    published, kept = {t.lower() for t in new}, {table_name(k).lower() for k in keep}
+    for t, kind in before.items():
+        old = _VERSIONED.match(t)
+        if old and (old[1] in published or replace_database):
+            _drop_version(spark, f"{database}.{t}", location)
+        elif replace_database and not old and t not in published and t not in kept:
+            spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} {database}.`{t}`")
+    return [f"{database}.{t}" for t in new]
+
+
+def _drop_version(spark: SparkSession, full: str, location: str | None) -> None:
+    path = None
+    if location and spark.catalog.tableExists(full):  # names in the catalog may be lower-cased, those of folders are not
+        path = next((r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {full}").collect() if r["col_name"] == "Location"), None)
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    if location:
+        remove_path(spark, path or f"{location.rstrip('/')}/{full.split('.', 1)[1]}")
 
 
 def publish_view(spark: SparkSession, database: str, view: str, table: str | list[str]) -> str:

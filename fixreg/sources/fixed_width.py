@@ -21,6 +21,8 @@ from fixreg.sources.tables import spread
 
 LINE = "__line"
 SOURCE_FILE = "source_file"
+RECORD = "record"
+QUARANTINED = "quarantined"
 ENCODING = "ISO-8859-1"
 
 
@@ -64,17 +66,20 @@ def parse_fixed_width(
     * ``typed=False`` keeps every column as trimmed text (S2);
     * ``on_garbage``: ``fail`` raises when a record has undeclared trailing
       data, ``keep`` adds it as ``GarbageColumn`` (reference behaviour, L3),
-      ``quarantine`` drops such rows (get them with :func:`garbage_rows`);
+      ``quarantine`` drops such rows (get them with :func:`garbage_rows`),
+      ``tag`` keeps all rows and marks them for :func:`split_quarantine`: both
+      outputs come from one pass;
     * ``strict=True`` raises on a cell the converter cannot read; otherwise
-      the value becomes null and is counted in ``observation`` (L4);
+      the value becomes null and is counted in ``observation`` (L4), for the
+      records that are not set apart;
     * ``keep`` carries extra input columns (e.g. the source file) through;
     * ``na_values``: extra cell texts read as missing (pandas-compatible
       sentinels such as ``NA``); by default only a blank cell is missing (L5);
     * ``garbage_width``: how far after the record to look for undeclared data;
       by default to the end of the line, 10 positions as the register tool does.
     """
-    if on_garbage not in ("fail", "keep", "quarantine"):
-        raise ValueError("on_garbage must be fail, keep or quarantine")
+    if on_garbage not in ("fail", "keep", "quarantine", "tag"):
+        raise ValueError("on_garbage must be fail, keep, quarantine or tag")
     line = F.col(line_col)
     nonblank = lines.filter(F.length(F.btrim(line, F.lit(BLANKS))) > 0)
 
@@ -104,18 +109,31 @@ def parse_fixed_width(
     if observation is not None:
         # Measured before the garbage policy filters or raises.
         metrics = [F.count(F.lit(1)).alias("rows"), F.count(garbage).alias("garbage_rows")]
-        metrics += [F.count_if(b).alias(f"bad_{n}") for n, b in bad_flags]
+        kept = garbage.isNull() if on_garbage in ("quarantine", "tag") else F.lit(True)
+        metrics += [F.count_if(b & kept).alias(f"bad_{n}") for n, b in bad_flags]
         nonblank = nonblank.observe(observation, *metrics)
     if on_garbage == "fail":
         msg = f"layout {layout.name}: data found after position {layout.garbage_start(offsets) - 1}"
         nonblank = nonblank.filter(fail_if(garbage.isNotNull(), msg))
     elif on_garbage == "quarantine":
         nonblank = nonblank.filter(garbage.isNull())
+    elif on_garbage == "tag":
+        bad = garbage.isNotNull()
+        out_cols += [garbage.alias(GARBAGE_COLUMN), F.when(bad, line).alias(RECORD), bad.alias(QUARANTINED)]
     else:
         out_cols.append(garbage.alias(GARBAGE_COLUMN))
     return nonblank.select(*out_cols)
 
 
+def split_quarantine(tagged: DataFrame, keep: tuple[str, ...] = (SOURCE_FILE,)) -> tuple[DataFrame, DataFrame]:
+    """The two outputs of ``on_garbage="tag"``: the good rows with the layout's
+    columns, and the records set apart as they came, with what was found
+    behind them.  The rows of both are all rows of the input."""
+    good = tagged.filter(~F.col(QUARANTINED)).drop(GARBAGE_COLUMN, RECORD, QUARANTINED)
+    bad = tagged.filter(QUARANTINED).select(*[k for k in keep if k in tagged.columns], RECORD, GARBAGE_COLUMN)
+    return good, bad
+
+
 def garbage_rows(lines: DataFrame, layout: Layout, *, line_col: str = LINE, offsets: str = "cumulative",
                  keep: tuple[str, ...] = (), garbage_width: int | None = None) -> DataFrame:
     """Records with undeclared trailing data, with their raw line (quarantine side)."""
@@ -160,6 +178,7 @@ class DirectoryScan:
     tables: dict[str, DataFrame]
     entries: list[InputEntry]
     status: dict[str, str] = field(default_factory=dict)
+    observations: dict[str, Observation] = field(default_factory=dict)  # by table, with ``observe``
 
 
 def list_inputs(spark: SparkSession, source_dir: str, layout_names: list[str]) -> list[InputEntry]:
@@ -186,12 +205,14 @@ def list_inputs(spark: SparkSession, source_dir: str, layout_names: list[str]) -
     return entries
 
 
-def read_directory(spark: SparkSession, source_dir: str, layouts: dict[str, Layout] | None = None,
-                   **kwargs) -> DirectoryScan:
+def read_directory(spark: SparkSession, source_dir: str, layouts: dict[str, Layout] | None = None, *,
+                   observe: bool = False, **kwargs) -> DirectoryScan:
     """Read every recognised entry of a folder, one DataFrame per layout.
 
     Entries resolving to the same layout are read by one scan; empty entries
-    are skipped; entries without a layout are reported, not read.
+    are skipped; entries without a layout are reported, not read.  With
+    ``observe`` the first job over a table counts its records, those with
+    garbage and the unreadable cells of each column (``observations``).
     """
     layouts = layouts or layouts_in()
     entries = list_inputs(spark, source_dir, list(layouts))
@@ -205,8 +226,9 @@ def read_directory(spark: SparkSession, source_dir: str, layouts: dict[str, Layo
         else:
             status[e.name] = f"read as {e.layout}"
             groups.setdefault(e.layout, []).append(e.path)
+    seen = {name: Observation() for name in groups} if observe else {}
     tables = {
-        name: read_fixed_width(spark, files, layouts[name], with_source=True, **kwargs)
+        name: read_fixed_width(spark, files, layouts[name], with_source=True, observation=seen.get(name), **kwargs)
         for name, files in groups.items()
     }
-    return DirectoryScan(tables, entries, status)
+    return DirectoryScan(tables, entries, status, seen)

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from fixreg.session import ensure_checkpoint_dir
+from fixreg.session import ScratchSpace, close_session_space, ensure_checkpoint_dir, session_space
 
 
 class _Conf(dict):
@@ -52,11 +52,23 @@ def test_local_cluster_counts_as_a_cluster():
         ensure_checkpoint_dir(_Spark(_SC("local-cluster[2,1,1024]")))
 
 
-def test_scratch_tables_are_dropped(spark):
-    from fixreg import session
+def folder(path):
+    return path.removeprefix("file:")
 
-    df = session.write_scratch(spark.range(5), "probe")
-    path = next(p for p, n in session._SCRATCH.items() if n == "probe")
-    assert df.count() == 5
-    session.drop_scratch(spark, "probe")
-    assert not os.path.exists(path.removeprefix("file:")) and path not in session._SCRATCH
+
+def test_scratch_space_owns_its_tables(spark):
+    with ScratchSpace(spark, "one") as one, ScratchSpace(spark, "two") as two:
+        a, b = one.write(spark.range(5), "probe"), two.write(spark.range(7), "probe")
+        one.drop("probe")
+        assert b.count() == 7 and not os.path.exists(folder(a.inputFiles()[0] if a.inputFiles() else one.path + "/0-probe"))
+        with pytest.raises(Exception, match="no such row"):
+            two.write(spark.range(3).selectExpr("id", "CASE WHEN id = 2 THEN raise_error('no such row') ELSE id END AS x"), "bad")
+        assert os.listdir(folder(two.path)) == ["0-probe"]
+    assert not os.path.exists(folder(one.path)) and not os.path.exists(folder(two.path))
+
+
+def test_session_space_is_closed_on_request(spark):
+    path = session_space(spark).path
+    assert session_space(spark).write(spark.range(2), "x").count() == 2
+    close_session_space(spark)
+    assert not os.path.exists(folder(path)) and session_space(spark).path != path
