@@ -20,6 +20,7 @@ from fixreg.operators.privacy import (
     pseudonymise,
     replace_id,
 )
+from fixreg.operators.profile import merge_profiles, profile_columns, profile_estimates
 from fixreg.operators.reshape import unpivot_non_null
 
 __all__ = [
@@ -35,6 +36,9 @@ __all__ = [
     "hash_id",
     "lookup_join",
     "member_flag",
+    "merge_profiles",
+    "profile_columns",
+    "profile_estimates",
     "pseudonymise",
     "replace_id",
     "require_columns",

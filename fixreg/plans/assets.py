@@ -15,11 +15,13 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from fixreg.functions.lattice import union_deliveries
 from fixreg.operators.privacy import PERSON_ID, add_local_id, pseudonymise
 from fixreg.plans.cohort import build_cohort
 from fixreg.plans.enrich import Lookups, enrich_enrolments, observed_unmatched, programmes_without_local_name
@@ -27,8 +29,10 @@ from fixreg.plans.exams import build_exam_grades
 from fixreg.session import ScratchSpace
 from fixreg.sinks import ExportFailed, export_tables, failure, publish_tables, publish_view, table_folders, table_name, write_table
 from fixreg.sources.delimited import read_delimited
-from fixreg.sources.fixed_width import QUARANTINED, SOURCE_FILE, read_directory, split_quarantine
-from fixreg.sources.layout import Layout
+from fixreg.sources.fixed_width import QUARANTINED, SOURCE_FILE, read_directory, read_editions, split_quarantine
+from fixreg.sources.layout import Layout, LayoutEditions
+
+log = logging.getLogger(__name__)
 
 ENROLMENT_PREFIX, EXAM_PREFIX = "EV", "VAKHAV"
 LOCAL_NAME_COLUMNS = ["Opleidingscode", "CodeOpleiding", "NaamOpleiding", "NaamFaculteit", "CodeFaculteit"]
@@ -76,7 +80,7 @@ def convert_register(
     remove_pii: bool = True,
     salt: str | None = None,
     mode: str = "hash",
-    layouts: dict[str, Layout] | None = None,
+    layouts: dict[str, Layout] | LayoutEditions | None = None,
     on_garbage: str = "fail",
     garbage_width: int | None = None,
     quarantine_dir: str | None = None,
@@ -96,6 +100,9 @@ def convert_register(
     all records.  These are raw lines with whatever identifiers they hold, so
     the folder has to be named, and should be as restricted as the input.
 
+    With ``LayoutEditions`` as ``layouts`` there is one table for each family
+    of layouts, over all years of delivery, each file cut by its year's layout.
+
     ``local_ids`` attaches the institution's own ids to the enrolment and exam
     tables by ``local_id_keys`` (the tables' column, the ids' column, which is
     not written), whether or not ids are pseudonymised (L13).
@@ -110,7 +117,8 @@ def convert_register(
         raise ValueError("on_garbage='quarantine' needs a quarantine_dir for the records set apart")
     if remove_pii and mode not in ("hash", "permute"):
         raise ValueError("mode must be hash or permute")
-    scan = read_directory(spark, source_dir, layouts, observe=True, typed=typed, on_garbage="tag" if quarantine else on_garbage,
+    read = read_editions if isinstance(layouts, LayoutEditions) else read_directory
+    scan = read(spark, source_dir, layouts, observe=True, typed=typed, on_garbage="tag" if quarantine else on_garbage,
                           garbage_width=garbage_width, strict=strict, na_values=tuple(na_values), offsets=offsets)
     tables, apart, failed = dict(scan.tables), {}, {}
     people = [n for n, t in tables.items() if n.startswith((ENROLMENT_PREFIX, EXAM_PREFIX)) and PERSON_ID in t.columns]
@@ -173,12 +181,15 @@ def _code_list(spark: SparkSession, converted_dir: str, name: str) -> DataFrame:
 
 def converted_tables(spark: SparkSession, converted_dir: str, prefix: str) -> DataFrame | None:
     """All rows of the converted tables whose name begins with ``prefix`` (one
-    per year of delivery), by column name; None if there is none."""
-    out = None
-    for name in table_folders(spark, converted_dir):
-        if name.startswith(prefix):
-            df = _converted(spark, converted_dir, name)
-            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    per year of delivery), by column name; None if there is none.  A column
+    whose type changed between deliveries has their common type; the changes
+    are logged."""
+    found = {name: _converted(spark, converted_dir, name) for name in table_folders(spark, converted_dir) if name.startswith(prefix)}
+    if not found:
+        return None
+    out, conflicts = union_deliveries(found)
+    for c in conflicts:
+        log.warning("%s: column %s is %s over %s", prefix, c.column, c.chosen, dict(c.types))
     return out
 
 

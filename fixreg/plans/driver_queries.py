@@ -24,18 +24,19 @@ from fixreg.operators.joins import (
     require_not_null,
 )
 from fixreg.operators.privacy import add_local_id, crosswalk, pseudonymise
+from fixreg.operators.profile import merge_profiles, profile_columns
 from fixreg.operators.reshape import unpivot_non_null
 from fixreg.plans import cohort as K
 from fixreg.plans import driver_views as V
 from fixreg.plans import enrich as E
 from fixreg.plans import exams as X
-from fixreg.plans.assets import converted_tables
+from fixreg.plans.assets import LOCAL_NAME_COLUMNS, convert_register, converted_tables, create_assets
 from fixreg.plans.report import feed_report
-from fixreg.session import scratch_path
-from fixreg.sinks import export_tables, publish_tables, publish_view, write_csv
+from fixreg.session import remove_path, scratch_path
+from fixreg.sinks import export_tables, publish_tables, publish_view, write_csv, write_parquet
 from fixreg.sources.delimited import parse_delimited, read_delimited
-from fixreg.sources.fixed_width import garbage_rows, parse_fixed_width, read_directory
-from fixreg.sources.layout import ColumnSpec, Layout
+from fixreg.sources.fixed_width import garbage_rows, parse_fixed_width, read_directory, read_editions
+from fixreg.sources.layout import ColumnSpec, Layout, LayoutEditions
 from fixreg.streaming import convert_stream
 
 SALT = "fixreg-check-salt"
@@ -314,6 +315,83 @@ def converted_years(spark, d):
     return norm(converted_tables(spark, root, "EV"))
 
 
+def _converted(spark, inputs: dict[str, DataFrame], **options):
+    """Lines as an extract folder, converted; the status and the folders of the tables and of records set apart."""
+    root = scratch_path(spark, "convert")
+    for name, lines in inputs.items():
+        lines.select(F.col(lines.columns[0]).alias("value")).write.text(f"{root}/in/{name}")
+    try:
+        status = convert_register(spark, f"{root}/in", f"{root}/out", quarantine_dir=f"{root}/apart", **options)
+    finally:
+        remove_path(spark, f"{root}/in")
+    return status, f"{root}/out", f"{root}/apart"
+
+
+def convert_quarantine(spark, d):
+    """The conversion's two tables of one pass: good rows, and records set apart as they came; together all records."""
+    status, out, apart = _converted(spark, {"Dec_onderdeel.asc": _part_lines(spark, d)}, layouts={"Dec_onderdeel": PART_LAYOUT},
+                                    remove_pii=False, on_garbage="quarantine")
+    assert status["Dec_onderdeel"].startswith("written"), status
+    good = spark.read.parquet(f"{out}/Dec_onderdeel").select("p_partkey", "p_brand", F.lit(None).cast("string").alias("GarbageColumn"))
+    bad = spark.read.parquet(f"{apart}/Dec_onderdeel").select(F.substring("record", 1, 8).cast("bigint").alias("p_partkey"),
+                                                              F.lit(None).cast("string").alias("p_brand"), "GarbageColumn")
+    return norm(good.unionByName(bad))
+
+
+def conversion_accounts(spark, d):
+    """What the conversion says of the cells it could not read, by column."""
+    line = ("lpad(CAST(c_custkey AS STRING), 10, '0') || rpad(coalesce(c_name, ''), 25, ' ') || "
+            "CASE WHEN c_custkey % 500 = 0 THEN 'X03' ELSE lpad(CAST(c_nationkey AS STRING), 3, ' ') END || rpad(coalesce(c_mktsegment, ''), 10, ' ')")
+    status, out, _ = _converted(spark, {"Dec_klant.asc": V.table(spark, d, "customer").selectExpr(f"{line} AS l")},
+                                layouts={"Dec_klant": CUSTOMER_LAYOUT}, remove_pii=False)
+    account = status.accounts["Dec_klant"]
+    nulls = spark.read.parquet(f"{out}/Dec_klant").agg(F.count_if(F.col("c_nationkey").isNull()).alias("null_cells"))
+    said = spark.createDataFrame([("Dec_klant", c, n, account.records, status["Dec_klant"]) for c, n in account.bad_cells.items()],
+                                 "table_name string, column_name string, unreadable bigint, records bigint, status string")
+    return norm(said.join(nulls))
+
+
+def convert_local_ids(spark, d):
+    """The institution's own ids attached by the conversion to enrolment and exam tables, before ids are pseudonymised."""
+    lay = {n: Layout(n, (ColumnSpec(PGN, 1, 12, "string"), ColumnSpec("nummer", 13, 10, "bigint"))) for n in ("EVlokaal", "VAKHAVlokaal")}
+    line = "lpad(CAST({} AS STRING), 12, '0') || lpad(CAST({} AS STRING), 10, '0') AS l"
+    local = V.table(spark, d, "customer").where("c_custkey % 2 = 0").selectExpr(
+        "lpad(CAST(c_custkey AS STRING), 12, '0') AS pgn_lokaal", "'S' || CAST(c_custkey AS STRING) AS studentnummer")
+    _, out, _ = _converted(spark, {
+        "EVlokaal.asc": V.table(spark, d, "orders").selectExpr(line.format("o_custkey", "o_orderkey")),
+        "VAKHAVlokaal.asc": V.table(spark, d, "customer").selectExpr(line.format("c_custkey", "c_nationkey")),
+    }, layouts=lay, salt=SALT, local_ids=local, local_id_keys=(PGN, "pgn_lokaal"))
+    tables = [spark.read.parquet(f"{out}/{n}").drop("source_file").withColumn("tabel", F.lit(n)) for n in lay]
+    return norm(tables[0].unionByName(tables[1]))
+
+
+EDITIONS = {
+    "Dec_adres_2023": Layout("Dec_adres_2023", (ColumnSpec("c_custkey", 1, 10, "bigint"), ColumnSpec("c_name", 11, 25), ColumnSpec("c_nationkey", 36, 3, "bigint"))),
+    "Dec_adres_2025": Layout("Dec_adres_2025", (ColumnSpec("c_custkey", 1, 12, "bigint"), ColumnSpec("c_nationkey", 13, 4, "string"),
+                                                ColumnSpec("c_mktsegment", 17, 10), ColumnSpec("c_name", 27, 25))),
+}
+
+
+def dated_layouts(spark, d):
+    """Files of three years in one scan, each cut by the layout of its year (2024 still by that of 2023)."""
+    root = scratch_path(spark, "editions")
+    old = "lpad(CAST(c_custkey AS STRING), 10, '0') || rpad(coalesce(c_name, ''), 25, ' ') || lpad(CAST(c_nationkey AS STRING), 3, ' ') AS value"
+    new = ("lpad(CAST(c_custkey AS STRING), 12, '0') || 'N' || lpad(CAST(c_nationkey AS STRING), 3, '0') || rpad(coalesce(c_mktsegment, ''), 10, ' ') "
+           "|| rpad(coalesce(c_name, ''), 25, ' ') AS value")
+    for year, line in ((2023, old), (2024, old), (2025, new)):
+        V.table(spark, d, "customer").where(f"c_custkey % 3 = {year % 3}").selectExpr(line).write.text(f"{root}/dec_ADRES_{year}.txt")
+    return norm(read_editions(spark, root, LayoutEditions.of(EDITIONS)).tables["Dec_adres"].drop("source_file"))
+
+
+def converted_types(spark, d):
+    """Deliveries whose column types differ, read as one table: a number and a text meet as text, a date and a text too."""
+    root = scratch_path(spark, "types")
+    orders = V.table(spark, d, "orders").withColumn("day", F.to_date("o_orderdate"))
+    orders.where("o_orderkey % 2 = 0").selectExpr("o_orderkey", "CAST(o_custkey AS INT) AS klant", "day").write.parquet(f"{root}/EV_2024")
+    orders.where("o_orderkey % 2 = 1").selectExpr("CAST(o_orderkey AS INT) AS o_orderkey", "'K' || o_custkey AS klant", "date_format(day, 'dd-MM-yyyy') AS day").write.parquet(f"{root}/EV_2025")
+    return norm(converted_tables(spark, root, "EV"))
+
+
 def stream_roundtrip_customer(spark, d):
     """Fixed-width files converted by the streaming reader (availableNow)."""
     src = scratch_path(spark, "landing")
@@ -407,6 +485,16 @@ def duplicate_key_report(spark, d):
     return norm(duplicate_keys(li, ["l_orderkey", "l_linenumber"]))
 
 
+def column_profile(spark, d):
+    """Every column of two deliveries of ``lineitem`` profiled in one pass each, and the stored profiles merged."""
+    root = scratch_path(spark, "profile")
+    li = V.table(spark, d, "lineitem").withColumn("l_suppkey", F.expr("CASE WHEN l_suppkey % 7 <> 0 THEN l_suppkey END"))
+    for k in (0, 1):
+        profile_columns(li.where(f"l_orderkey % 2 = {k}"), f"delivery {k}", ["l_orderkey", "l_suppkey", "l_quantity", "l_returnflag"]).write.parquet(f"{root}/delivery={k}")
+    merged = merge_profiles(spark.read.parquet(root))
+    return norm(merged.select("column", "n_deliveries", "n_rows", "n_null", "least_number", "greatest_number", "least_text", "greatest_text"))
+
+
 def key_profile(spark, d):
     """Row count, distinct, null and non-null counts, maximum — one pass."""
     li = V.table(spark, d, "lineitem")
@@ -484,6 +572,18 @@ def local_names_join(spark, d):
                          "CodeFaculteit"))
 
 
+def assets_unmatched_report(spark, d):
+    """The report of programmes without a local name, as the assets' job writes it."""
+    root, lk = scratch_path(spark, "assets"), V.lookups(spark, d)
+    for name, df in (("EV____24", V.enrolment(spark, d)), ("Dec_vopl", lk.dec_vopl), ("Dec_brinvestigingsnummer", lk.dec_brinvestigingsnummer),
+                     ("Dec_isat", lk.dec_isat), ("Dec_ho_ISCED", lk.dec_ho_isced)):
+        df.write.parquet(f"{root}/in/{name}")
+    lk.local_names.select(*LOCAL_NAME_COLUMNS).write.option("header", True).option("sep", ";").csv(f"{root}/names")
+    written = create_assets(spark, f"{root}/in", f"{root}/out", local_names_path=f"{root}/names")
+    remove_path(spark, f"{root}/in")
+    return spark.read.parquet(written["programmes_without_local_name"])
+
+
 def seven_predicate_cohort(spark, d):
     return norm(E.add_pa_cohort(_enrolment(spark, d)).select(PGN, "Inschrijvingsjaar", "InPACohortDefinitie"))
 
@@ -654,6 +754,30 @@ def publish_table_view(spark, d):
     return spark.table(view)
 
 
+def publish_failed(spark, d):
+    """A publication of which one table fails leaves the tables that were there."""
+    loc, db = scratch_path(spark, "catalog"), "fixreg_check_failed"
+    publish_tables(spark, {"nation-2024": _nation_region(spark, d)}, db, location=loc)
+    broken = V.table(spark, d, "region").where("CASE WHEN r_regionkey >= 0 THEN raise_error('broken table') ELSE true END")
+    try:
+        publish_tables(spark, {"nation-2024": _nation_region(spark, d).limit(1), "region": broken}, db, location=loc, replace_database=True)
+    except Exception as exc:
+        if "broken table" not in str(exc):
+            raise
+    return spark.table(f"{db}.nation_2024")
+
+
+def sink_balanced(spark, d):
+    """A table by year, most rows of one year, rebalanced; then the years that changed replaced alone."""
+    path = scratch_path(spark, "balanced")
+    orders = V.table(spark, d, "orders").selectExpr(
+        "o_orderkey", "CASE WHEN o_orderkey % 3 <> 0 THEN 1995 ELSE year(o_orderdate) END AS jaar", "o_totalprice AS bedrag")
+    write_parquet(orders, path, partition_by=["jaar"], balanced=True, max_rows_per_file=100_000)
+    changed = orders.where("jaar IN (1996, 1997)").withColumn("bedrag", F.lit(0.5))
+    write_parquet(changed, path, partition_by=["jaar"], balanced=True, changed_only=True)
+    return norm(spark.read.parquet(path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fwf_roundtrip_customer": fwf_roundtrip_customer,
     "fwf_untyped": fwf_untyped,
@@ -721,4 +845,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_parquet": sink_parquet,
     "sink_csv": sink_csv,
     "publish_table_view": publish_table_view,
+    "convert_quarantine": convert_quarantine,
+    "conversion_accounts": conversion_accounts,
+    "convert_local_ids": convert_local_ids,
+    "dated_layouts": dated_layouts,
+    "converted_types": converted_types,
+    "column_profile": column_profile,
+    "assets_unmatched_report": assets_unmatched_report,
+    "publish_failed": publish_failed,
+    "sink_balanced": sink_balanced,
 }

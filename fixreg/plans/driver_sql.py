@@ -427,3 +427,36 @@ SQL["sink_parquet"] = ("SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, C
                        "c_nationkey, c_acctbal FROM customer")
 SQL["sink_csv"] = NATION_REGION
 SQL["publish_table_view"] = NATION_REGION
+
+# --- workflows -------------------------------------------------------------
+SQL["convert_quarantine"] = (
+    "SELECT CAST(p_partkey AS BIGINT) AS p_partkey, CASE WHEN p_type = 'PROMO' THEN NULL ELSE NULLIF(trim(p_brand), '') END AS p_brand, "
+    "CASE WHEN p_type = 'PROMO' THEN 'XTRA' || CAST(p_size AS STRING) END AS GarbageColumn FROM part")
+SQL["conversion_accounts"] = (
+    "WITH n AS (SELECT count(*) FILTER (WHERE c_custkey % 500 = 0) AS bad, count(*) AS records FROM customer) "
+    "SELECT 'Dec_klant' AS table_name, 'c_nationkey' AS column_name, bad AS unreadable, records, "
+    "'written; unreadable cells: c_nationkey ' || bad AS status, bad AS null_cells FROM n WHERE bad > 0")
+LOCAL_ID = "CASE WHEN {0} % 2 = 0 THEN 'S' || CAST({0} AS STRING) END AS studentnummer"
+SQL["convert_local_ids"] = (
+    f"SELECT sha256('{SALT}' || lpad(CAST(o_custkey AS STRING), 12, '0')) AS PersoonsgebondenNummer, CAST(o_orderkey AS BIGINT) AS nummer, "
+    f"{LOCAL_ID.format('o_custkey')}, 'EVlokaal' AS tabel FROM orders UNION ALL "
+    f"SELECT sha256('{SALT}' || lpad(CAST(c_custkey AS STRING), 12, '0')), CAST(c_nationkey AS BIGINT), {LOCAL_ID.format('c_custkey')}, 'VAKHAVlokaal' FROM customer")
+SQL["dated_layouts"] = (
+    f"SELECT CAST(c_custkey AS BIGINT) AS c_custkey, {_cell('substr(c_name, 1, 25)')} AS c_name, "
+    "CASE WHEN c_custkey % 3 = 0 THEN 'N' || lpad(CAST(c_nationkey AS STRING), 3, '0') ELSE CAST(c_nationkey AS STRING) END AS c_nationkey, "
+    f"CASE WHEN c_custkey % 3 = 0 THEN {_cell('substr(c_mktsegment, 1, 10)')} END AS c_mktsegment FROM customer")
+SQL["converted_types"] = (
+    "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'K' END || CAST(o_custkey AS STRING) AS klant, "
+    "CASE WHEN o_orderkey % 2 = 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') ELSE strftime(CAST(o_orderdate AS DATE), '%d-%m-%Y') END AS day FROM orders")
+PROFILE = ("SELECT '{c}' AS column, CAST(2 AS BIGINT) AS n_deliveries, count(*) AS n_rows, count(*) - count({e}) AS n_null, "
+           "{low} AS least_number, {high} AS greatest_number, {lt} AS least_text, {ht} AS greatest_text FROM lineitem")
+NO_TEXT, NO_NUMBER = {"lt": "CAST(NULL AS STRING)", "ht": "CAST(NULL AS STRING)"}, {"low": "CAST(NULL AS DOUBLE)", "high": "CAST(NULL AS DOUBLE)"}
+SQL["column_profile"] = " UNION ALL ".join(
+    [PROFILE.format(c=c, e=e, low=f"CAST(min({e}) AS DOUBLE)", high=f"CAST(max({e}) AS DOUBLE)", **NO_TEXT) for c, e in
+     (("l_orderkey", "l_orderkey"), ("l_suppkey", "(CASE WHEN l_suppkey % 7 <> 0 THEN l_suppkey END)"), ("l_quantity", "l_quantity"))]
+    + [PROFILE.format(c="l_returnflag", e="l_returnflag", lt="min(l_returnflag)", ht="max(l_returnflag)", **NO_NUMBER)])
+SQL["assets_unmatched_report"] = SQL["local_names_unmatched"]
+SQL["publish_failed"] = NATION_REGION
+SQL["sink_balanced"] = (
+    "WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN 1995 ELSE year(o_orderdate) END AS jaar, o_totalprice FROM orders) "
+    "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(jaar AS BIGINT) AS jaar, CASE WHEN jaar IN (1996, 1997) THEN 0.5 ELSE o_totalprice END AS bedrag FROM o")

@@ -9,14 +9,17 @@ trailing data are counted through an ``Observation`` or raised lazily.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fixreg.functions.converters import get_converter
 from fixreg.functions.exprs import BLANKS, cell, fail_if
-from fixreg.sources.layout import GARBAGE_COLUMN, Layout, layouts_in, resolve_layout
+from fixreg.functions.lattice import common_type
+from fixreg.sources.layout import GARBAGE_COLUMN, Edition, Layout, LayoutEditions, layouts_in, resolve_layout
 from fixreg.sources.tables import spread
 
 LINE = "__line"
@@ -24,6 +27,7 @@ SOURCE_FILE = "source_file"
 RECORD = "record"
 QUARANTINED = "quarantined"
 ENCODING = "ISO-8859-1"
+_SCHEME = "^[A-Za-z0-9+.-]+:/+"  # file:/x and file:///x are one path
 
 
 def decode_lines(raw: DataFrame, encoding: str = ENCODING, keep_source: bool = False) -> DataFrame:
@@ -78,43 +82,48 @@ def parse_fixed_width(
     * ``garbage_width``: how far after the record to look for undeclared data;
       by default to the end of the line, 10 positions as the register tool does.
     """
-    if on_garbage not in ("fail", "keep", "quarantine", "tag"):
-        raise ValueError("on_garbage must be fail, keep, quarantine or tag")
     line = F.col(line_col)
-    nonblank = lines.filter(F.length(F.btrim(line, F.lit(BLANKS))) > 0)
+    cells = _cells(line, layout, typed, offsets, strict, na_values)
+    message = f"layout {layout.name}: data found after position {layout.garbage_start(offsets) - 1}"
+    return _rows(lines, line, cells, garbage_of(line, layout, offsets, garbage_width), message, on_garbage, keep, observation)
+
 
-    starts = layout.starts(offsets)
-    garbage = garbage_of(line, layout, offsets, garbage_width)
-    out_cols: list[Column] = [F.col(k) for k in keep]
-    bad_flags: list[tuple[str, Column]] = []
-    for spec, start in zip(layout.columns, starts):
+def _cells(line: Column, layout: Layout, typed: bool, offsets: str, strict: bool, na_values: tuple[str, ...]) -> dict[str, tuple[Column, Column | None]]:
+    """By column of the layout: its value, and whether the cell could not be read (None where any cell can)."""
+    out: dict[str, tuple[Column, Column | None]] = {}
+    for spec, start in zip(layout.columns, layout.starts(offsets)):
         raw = cell(_cut(line, start, spec.width))
         if na_values:
             raw = F.when(~raw.isin(*na_values), raw)
         if not typed:
-            out_cols.append(raw.alias(spec.name))
+            out[spec.name] = raw, None
             continue
         conv, _known = get_converter(spec.converter)
         parsed = conv.parse(raw)
         value = conv.finish(parsed).cast(conv.dtype)
-        if conv.can_fail:
-            bad = raw.isNotNull() & parsed.isNull()
-            if strict:
-                msg = f"layout {layout.name}: column {spec.name} has a value that is not {spec.converter}"
-                value = F.when(bad, F.raise_error(F.lit(msg)).cast(conv.dtype)).otherwise(value)
-            elif observation is not None:
-                bad_flags.append((spec.name, bad))
-        out_cols.append(value.alias(spec.name))
+        bad = raw.isNotNull() & parsed.isNull() if conv.can_fail else None
+        if bad is not None and strict:
+            msg = f"layout {layout.name}: column {spec.name} has a value that is not {spec.converter}"
+            value = F.when(bad, F.raise_error(F.lit(msg)).cast(conv.dtype)).otherwise(value)
+        out[spec.name] = value, None if strict else bad
+    return out
 
+
+def _rows(lines: DataFrame, line: Column, cells: dict[str, tuple[Column, Column | None]], garbage: Column, message: str | Column,
+          on_garbage: str, keep: tuple[str, ...], observation: Observation | None) -> DataFrame:
+    """The lines that are not blank as rows of ``cells``, under the garbage policy."""
+    if on_garbage not in ("fail", "keep", "quarantine", "tag"):
+        raise ValueError("on_garbage must be fail, keep, quarantine or tag")
+    nonblank = lines.filter(F.length(F.btrim(line, F.lit(BLANKS))) > 0)
+    out_cols = [F.col(k) for k in keep] + [value.alias(name) for name, (value, _) in cells.items()]
     if observation is not None:
         # Measured before the garbage policy filters or raises.
-        metrics = [F.count(F.lit(1)).alias("rows"), F.count(garbage).alias("garbage_rows")]
         kept = garbage.isNull() if on_garbage in ("quarantine", "tag") else F.lit(True)
-        metrics += [F.count_if(b & kept).alias(f"bad_{n}") for n, b in bad_flags]
+        metrics = [F.count(F.lit(1)).alias("rows"), F.count(garbage).alias("garbage_rows")]
+        metrics += [F.count_if(bad & kept).alias(f"bad_{name}") for name, (_, bad) in cells.items() if bad is not None]
         nonblank = nonblank.observe(observation, *metrics)
     if on_garbage == "fail":
-        msg = f"layout {layout.name}: data found after position {layout.garbage_start(offsets) - 1}"
-        nonblank = nonblank.filter(fail_if(garbage.isNotNull(), msg))
+        nonblank = nonblank.filter(fail_if(garbage.isNotNull(), message))
     elif on_garbage == "quarantine":
         nonblank = nonblank.filter(garbage.isNull())
     elif on_garbage == "tag":
@@ -125,6 +134,44 @@ def parse_fixed_width(
     return nonblank.select(*out_cols)
 
 
+def parse_editions(lines: DataFrame, editions: list[Edition], year: Column, *, line_col: str = LINE, typed: bool = True, offsets: str = "cumulative",
+                   on_garbage: str = "fail", strict: bool = False, keep: tuple[str, ...] = (), observation: Observation | None = None,
+                   na_values: tuple[str, ...] = (), garbage_width: int | None = None) -> DataFrame:
+    """Cut each line by the layout that was valid in its ``year`` (S3, S5), all in one pass.
+
+    The columns are those of all editions, by name; one that an edition lacks
+    is null in its lines, and a column whose type changed has the common type
+    (``common_type``).  A line of no year takes the newest edition, one of a
+    year before the oldest raises.  The options are those of
+    :func:`parse_fixed_width`.
+    """
+    line, newest_first = F.col(line_col), sorted(editions, key=lambda e: -e.since)
+    each = [(e, _cells(line, e.layout, typed, offsets, strict, na_values)) for e in newest_first]
+    valid = [year.isNull() | (year >= F.lit(newest_first[0].since)), *[year >= F.lit(e.since) for e in newest_first[1:]]]
+
+    def chosen(values: list[Column | None], otherwise: Column) -> Column:
+        out = None
+        for ok, value in zip(valid, values):
+            value = otherwise if value is None else value
+            out = F.when(ok, value) if out is None else out.when(ok, value)
+        return out.otherwise(otherwise)
+
+    types: dict[str, T.DataType] = {}
+    for e, _ in reversed(each):
+        for f in e.layout.schema(typed).fields:
+            types[f.name] = common_type(types[f.name], f.dataType) if f.name in types else f.dataType
+    cells = {}
+    for name, kind in types.items():
+        values = [c[name][0].cast(kind) if name in c else None for _, c in each]
+        bad = [c[name][1] if name in c else None for _, c in each]
+        cells[name] = chosen(values, F.lit(None).cast(kind)), chosen(bad, F.lit(False)) if any(b is not None for b in bad) else None
+    oldest = newest_first[-1]
+    lines = lines.filter(fail_if(year < F.lit(oldest.since), f"no layout of {oldest.layout.name} is valid before {oldest.since}"))
+    garbage = chosen([garbage_of(line, e.layout, offsets, garbage_width) for e, _ in each], F.lit(None).cast("string"))
+    return _rows(lines, line, cells, garbage, f"layouts {', '.join(e.layout.name for e, _ in reversed(each))}: data found after the record",
+                 on_garbage, keep, observation)
+
+
 def split_quarantine(tagged: DataFrame, keep: tuple[str, ...] = (SOURCE_FILE,)) -> tuple[DataFrame, DataFrame]:
     """The two outputs of ``on_garbage="tag"``: the good rows with the layout's
     columns, and the records set apart as they came, with what was found
@@ -232,3 +279,38 @@ def read_directory(spark: SparkSession, source_dir: str, layouts: dict[str, Layo
         for name, files in groups.items()
     }
     return DirectoryScan(tables, entries, status, seen)
+
+
+def read_editions(spark: SparkSession, source_dir: str, editions: LayoutEditions | None = None, *, encoding: str = ENCODING,
+                  observe: bool = False, **kwargs) -> DirectoryScan:
+    """Read every recognised entry of a folder, one DataFrame per family of
+    layouts (S3, S5–S7): one scan over all its deliveries, each entry cut by
+    the layout that was valid in the year its name ends in.
+
+    An entry older than its family's first layout is reported, not read.
+    """
+    editions = editions or LayoutEditions.of(layouts_in())
+    entries = list_inputs(spark, source_dir, [])
+    status: dict[str, str] = {}
+    groups: dict[str, list[str]] = {}
+    for e in entries:
+        family = editions.family_of(e.stem)
+        layout = editions.valid(family, editions.year_of(e.stem)) if family else None
+        e.layout = layout.name if layout else None
+        if layout is None:
+            status[e.name] = "no layout" if family is None else f"no layout of {family} was valid in {editions.year_of(e.stem)}"
+        elif e.bytes == 0:
+            status[e.name] = "empty"
+        else:
+            status[e.name] = f"read as {layout.name}"
+            groups.setdefault(family, []).append(e.path)
+    seen = {family: Observation() for family in groups} if observe else {}
+    tables = {}
+    for family, files in groups.items():
+        lines = decode_lines(spark.read.text(files), encoding, keep_source=True)
+        # The entry is the path's part below the folder; its name ends in the year.
+        depth = re.sub(_SCHEME, "", files[0].rstrip("/")).count("/")
+        entry = F.get(F.split(F.regexp_replace(SOURCE_FILE, _SCHEME, ""), "/"), depth)
+        tables[family] = parse_editions(lines, editions[family], editions.year_column(F.regexp_replace(entry, r"\.[^.]*$", "")),
+                                        keep=(SOURCE_FILE,), observation=seen.get(family), **kwargs)
+    return DirectoryScan(tables, entries, status, seen)

@@ -14,9 +14,13 @@ from __future__ import annotations
 import csv
 import io
 import logging
+import re
+from collections.abc import Mapping
 from dataclasses import dataclass
 from pathlib import Path
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fixreg.functions.converters import get_converter
@@ -175,3 +179,75 @@ def resolve_layout(file_stem: str, layout_names: list[str]) -> str | None:
                 if n.startswith(marker):
                     return n
     return None
+
+
+_YEAR = r"(20\d\d|\d\d)$"
+
+
+def _dated(name: str) -> tuple[str, int | None]:
+    """A name without the year it ends in, and that year (two digits: of this century)."""
+    found = re.search(_YEAR, name)
+    year = int(found[1]) % 100 + 2000 if found else None
+    return (name[:found.start()] if found else name).rstrip("_"), year
+
+
+@dataclass(frozen=True)
+class Edition:
+    """A layout and the first year it is valid in."""
+
+    layout: Layout
+    since: int
+
+
+class LayoutEditions:
+    """Layouts by family and year (S3, S5): an edition is valid from its year
+    until the next one's, the newest without end."""
+
+    def __init__(self, editions: Mapping[str, list[Edition]]):
+        self._families = {f: sorted(es, key=lambda e: e.since) for f, es in editions.items()}
+        for family, es in self._families.items():
+            years = [e.since for e in es]
+            if len(set(years)) < len(years):
+                raise ValueError(f"two layouts of {family} are valid since the same year: {years}")
+
+    @classmethod
+    def of(cls, layouts: Mapping[str, Layout]) -> "LayoutEditions":
+        """Families and years by the layouts' names: ``Dec_postcodecijfers_2023``
+        and ``…_2024`` are two editions of one family; a name without a year is
+        valid from the beginning."""
+        families: dict[str, list[Edition]] = {}
+        for name, layout in layouts.items():
+            family, year = _dated(name)
+            families.setdefault(family, []).append(Edition(layout, year or 0))
+        return cls(families)
+
+    def __getitem__(self, family: str) -> list[Edition]:
+        return self._families[family]
+
+    def families(self) -> list[str]:
+        return sorted(self._families)
+
+    def intervals(self, family: str) -> list[tuple[int, int | None, str]]:
+        """(first year, last year or None, layout) of each edition."""
+        es = self._families[family]
+        return [(e.since, after.since - 1 if after else None, e.layout.name) for e, after in zip(es, [*es[1:], None])]
+
+    def family_of(self, stem: str) -> str | None:
+        """The family of an input file: its name without the year, ignoring
+        case; else, as for single layouts, by ``EV`` or ``VAKHAV`` in it."""
+        return resolve_layout(_dated(stem)[0], list(self._families))
+
+    @staticmethod
+    def year_of(stem: str) -> int | None:
+        return _dated(stem)[1]
+
+    def valid(self, family: str, year: int | None) -> Layout | None:
+        """As-of rule: the newest layout whose first year is not after ``year``; of no year, the newest."""
+        es = [e for e in self._families[family] if year is None or e.since <= year]
+        return es[-1].layout if es else None
+
+    @staticmethod
+    def year_column(stem: Column) -> Column:
+        """``year_of`` as an expression."""
+        digits = F.regexp_extract(stem, _YEAR, 1)
+        return F.when(digits != "", F.right(digits, F.lit(2)).cast("int") + 2000)
