@@ -55,7 +55,7 @@ def test_balanced_files_under_skew(spark, workdir):
     for r in spark.read.parquet(f"{workdir}/t").groupBy("jaar", F.input_file_name()).count().collect():
         files.setdefault(r["jaar"], []).append(r["count"])
     assert sum(files[2020]) == 30_000 and len(files[2020]) >= 4 and max(files[2020]) <= 12_000  # a third of the rows: several files
-    assert all(len(v) <= 3 for y, v in files.items() if y != 2020)  # not one file from each of 9 tasks
+    assert sum(len(v) for y, v in files.items() if y != 2020) <= 3 * 40  # not a file of each year from each of 9 tasks
     write_parquet(df.where("jaar = 2025").withColumn("t", F.lit("new")), f"{workdir}/t", partition_by=["jaar"], balanced=True, changed_only=True)
     back = spark.read.parquet(f"{workdir}/t")
     assert back.count() == 90_000 and {r["jaar"] for r in back.where("t = 'new'").select("jaar").distinct().collect()} == {2025}
