@@ -175,7 +175,7 @@ def test_line_classes(spark, awkward):
     name = {t: min((first[u] for u in g), key=order) for g in groups_of(links, texts) for t in g}
     df = spark.createDataFrame(docs, "doc_id long, text string")
     for tile in (3, 512):
-        got = sorted(map(tuple, linededup.line_classes(df, least=12, tile=tile, broadcast_rows=0 if tile == 3 else 10**6).collect()), key=str)
+        got = sorted(map(tuple, linededup.line_classes(df, least=12, tile=tile).collect()), key=str)
         assert got == sorted(((d, k, *name[x]) for d, k, x in lines), key=str)
     kept = linededup.drop_repeated_lines(awkward)
     assert kept.columns == awkward.columns and kept.count() == awkward.count()
@@ -211,8 +211,8 @@ def test_long_noisy_lines_are_linked(spark):
     of = {t: k for k, g in enumerate(groups_of(links, texts)) for t in g}
     assert len(set(of.values())) < len(texts) - 30
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    for tile, rows in ((3, 0), (512, 10**6)):
-        got = {r["doc_id"]: r["class_doc"] for r in linededup.line_classes(docs, tile=tile, broadcast_rows=rows).collect()}
+    for tile, some in ((3, 50), (512, linededup.SLICE)):  # slices that overflow, too
+        got = {r["doc_id"]: r["class_doc"] for r in linededup.line_classes(docs, tile=tile, slice_postings=some).collect()}
         first = {}
         for k, t in enumerate(lines):
             assert got[k] == first.setdefault(of[t], k)
