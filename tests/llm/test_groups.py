@@ -288,3 +288,101 @@ def test_pipeline_stages_equal_their_operators(spark, tmp_path):
         elif name == "sentencepiece":
             assert {(r["doc_id"], r["n_tokens"]) for r in after.collect()} == {(d, len(lib.encode(t))) for d, t in before.items()}
         docs = after
+
+
+def test_meetings_equal_brute_force():
+    """Pairs and crowds of a slice hold every pair of postings that fit; pairs outside crowds have their number."""
+    r = np.random.default_rng(51)
+    for n, keys in ((300, 40), (400, 3), (5, 1), (1, 1), (200, 200)):
+        key, line = r.integers(0, keys, n).astype(np.uint32), r.integers(0, 90, n)
+        size, place = 75 + line % 7 * 2, r.integers(0, 12, n)  # a line has one size
+        want = {}
+        for i in range(n):
+            for j in range(n):
+                if key[i] == key[j] and line[i] != line[j] and (size[i], line[i]) < (size[j], line[j]) and size[j] - size[i] <= size[i] // 25 and abs(place[i] - place[j]) <= size[i] // 25:
+                    want[line[i], line[j]] = want.get((line[i], line[j]), 0) + 1
+        (a, b, sa, sb, times, tried), (group, member) = linededup.met(key, line, size, place, 2)
+        got = {(x, y): (t, c) for x, y, t, c in zip(a.tolist(), b.tolist(), times.tolist(), tried.tolist())}
+        together = {}
+        for g, m in zip(group.tolist(), member.tolist()):
+            together.setdefault(g, set()).add(m)
+        for pair, t in want.items():
+            crowded = any(set(pair) <= g for g in together.values())
+            assert crowded or got[pair] == (t, 0), (pair, t)
+        assert set(got) <= set(want) and all(t <= want[p] for p, (t, _) in got.items())
+        assert (sa <= sb).all() and len(a) == len(got)
+
+
+def test_overflowing_slices_share_groups():
+    """Postings of two parts of a slice that fit have a group in common."""
+    r = np.random.default_rng(52)
+    key, size, place = r.integers(0, 3, 400).astype(np.uint32), r.integers(60, 1200, 400), r.integers(0, 300, 400)
+    line = np.arange(400)
+    sides = [linededup.met(key[k], line[k], size[k], place[k], 2, overflow=True)[1] for k in (slice(0, 200), slice(200, 400))]
+    of = [{m: set(g[line == m].tolist()) for m in set(line.tolist())} for g, line in sides]
+    met = 0
+    for i in range(200):
+        for j in range(200, 400):
+            short = min(size[i], size[j])
+            most = max(2, short // 25 if short >= 75 else 0)
+            if key[i] == key[j] and abs(size[i] - size[j]) <= most and abs(place[i] - place[j]) <= most:
+                met += 1
+                assert of[0][i] & of[1][j]
+    assert met > 20
+
+
+def test_crowds_of_near_lines_are_connected(spark):
+    """Many lines within a few edits of one, some connected through others alone, beside lines that share most of their text."""
+    r = random.Random(53)
+    base = "".join(r.choice("abcdefgh ") for _ in range(200))
+    lines = [noisy(r, base, r.randint(0, 8)) for _ in range(150)]
+    step = base
+    for _ in range(12):  # a chain that ends far from where it began
+        step = noisy(r, step, 7)
+        lines.append(step)
+    other = base[:120] + "".join(r.choice("xyz") for _ in range(80))
+    lines += [noisy(r, other, r.randint(0, 3)) for _ in range(40)]
+    texts = sorted(set(lines))
+    links = []
+    for k, a in enumerate(texts):
+        rest = texts[k + 1:]
+        links += [(a, b) for b, hit in zip(rest, linededup.near_lines([a] * len(rest), rest, 2)) if hit]
+    of = {t: k for k, g in enumerate(groups_of(links, texts)) for t in g}
+    first = {}
+    want = [first.setdefault(of[t], k) for k, t in enumerate(lines)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    for some in (300, linededup.SLICE):
+        got = {r["doc_id"]: r["class_doc"] for r in linededup.line_classes(docs, slice_postings=some).collect()}
+        assert [got[k] for k in range(len(lines))] == want
+    assert len(set(want)) > 1
+
+
+def test_repeated_and_null_ids_in_lines(spark):
+    """Rows of one id, or of none, are told apart by their texts; a line stays once."""
+    r = random.Random(54)
+    said = ["".join(r.choice("abcdefgh ") for _ in range(60)) for _ in range(6)]
+    docs = [(None, f"{said[0]}\n{said[1]}"), (None, f"{said[0]}\n{said[2]}"), (5, f"{said[3]}\n{said[0]}"), (5, f"{said[4]}\n{said[3]}"), (5, f"{said[3]}x\n{said[5]}"), (9, said[5]), (9, said[5])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = [tuple(x) for x in linededup.drop_repeated_lines(df).collect()]
+    left = [x for _, t in kept for x in t.split("\n")]
+    assert len(left) == len(set(left)) and all(any(linededup.near_lines([s], [x], 2)[0] for x in left) for s in said)
+    assert sum(s in left for s in said) >= 5 and (9, said[5]) not in kept
+    classes = linededup.line_classes(df).collect()
+    assert len(classes) == sum(len(t.split("\n")) for _, t in docs)
+
+
+def test_line_pairs_stay_few(spark):
+    """Ten times the documents must not mean much more candidates per line."""
+    from fixreg.llm.common import Scratch
+
+    per_line = []
+    for sf in ("sf0.01", "sf0.1"):
+        docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+        lines = linededup.lines_of(docs, 75).groupBy("h1", "h2").agg({"line": "first"}).toDF("h1", "line_no", "line").select("line_no", "line")
+        scratch = Scratch(spark, "few")
+        long = scratch.write(lines, "long")
+        met = linededup.meetings(linededup.packed_postings(long, 2, 8, 1, 0), 2, 10**7).where("times > 0")
+        pairs = met.groupBy("a", "b").agg({"size_a": "first", "size_b": "first", "times": "sum", "try": "max"}).toDF("a", "b", "size_a", "size_b", "times", "try")
+        from pyspark.sql import functions as F
+        per_line.append(pairs.where((F.col("times") >= linededup.least_meetings(2)) | (F.col("try") > 0)).count() / long.count())
+    assert per_line[1] < 3 * per_line[0] + 0.5, per_line
