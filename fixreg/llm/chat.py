@@ -8,9 +8,11 @@ A log has rows (conv_id, turn, seq, kind, role, text).  Kinds:
 * ``regenerate``: the turn's last message starts again, empty.
 
 A delta, edit or regeneration without a message before it starts one.  Any
-other kind counts as a message.  The log is partitioned by (conv_id, turn),
-sorted by seq, and folded in one pass that holds one message; a conversation
-with a third of all rows is spread by its turns.  Messages are rendered where
+other kind counts as a message.  ``turn`` is the turn an event is about and
+``seq`` counts over the whole conversation, so an edit or a regeneration may
+come long after later turns and still reaches its own.  The log is partitioned
+by conversation and turn, sorted by seq, and folded in one pass that holds one
+message; a conversation with a third of all rows is spread by its turns.  Messages are rendered where
 they are folded, one row each, with the span of the loss mask in it.
 
 Template: ``[INST] role\\ntext [/INST]`` for other roles, ``text</s>`` for the
@@ -173,6 +175,37 @@ def events_of(conversations: DataFrame) -> DataFrame:
     return conversations.select("conv_id", "turn", F.lit(0).cast("long").alias("seq"), F.lit("message").alias("kind"), "role", "text")
 
 
-def chat_digests(conversations: DataFrame) -> DataFrame:
-    """Formats whole conversations and reads them back."""
-    return read_back(format_conversations(events_of(conversations)))
+def streamed_events(conversations: DataFrame, piece: int = 40) -> DataFrame:
+    """The log of a chat in which the messages (conv_id, turn, role, text) came about piece by piece.
+
+    By crc32 of ``conv_id:turn`` modulo 4 a message is 0: said at once; 1:
+    begun empty and streamed in deltas of ``piece`` characters; 2: first said
+    wrongly, and edited when all turns are over; 3: streamed wrongly,
+    regenerated, and streamed again, the rest of it after all other turns.
+    Folding the log gives the messages back.  Rows of one (conv_id, turn) would
+    run into each other, so all of such a turn are said at once.
+    """
+    rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    alone = rows.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n")).where("n = 1 AND conv_id IS NOT NULL AND turn IS NOT NULL")
+    rows = rows.join(alone, ["conv_id", "turn"], "left")
+    way = F.when(F.col("n").isNull(), 0).otherwise(F.crc32(F.concat_ws(":", "conv_id", "turn").cast("binary")) % 4)
+    pieces = F.transform(F.sequence(F.lit(0), F.floor(F.length("text") / piece)), lambda k: F.substring("text", k * piece + 1, F.lit(piece)))
+
+    def event(seq, kind, text):
+        return F.struct(F.lit(seq).cast("long").alias("seq") if isinstance(seq, int) else seq.cast("long").alias("seq"), F.lit(kind).alias("kind"), text.alias("text"))
+
+    late, nothing, wrong = 1 << 40, F.lit(""), F.concat(F.lit("no, "), F.reverse("text"))  # late: beyond every turn
+    deltas = lambda first: F.transform(pieces, lambda p, k: event(k + first, "delta", p))
+    events = (F.when(way == 0, F.array(event(0, "message", F.col("text"))))
+              .when(way == 1, F.concat(F.array(event(0, "message", nothing)), deltas(1)))
+              .when(way == 2, F.array(event(0, "message", wrong), event(late, "edit", F.col("text"))))
+              .otherwise(F.concat(F.array(event(0, "message", nothing), event(1, "delta", wrong), event(2, "regenerate", nothing)), deltas(late))))
+    said = rows.select("conv_id", "turn", "role", F.explode(events).alias("e"))
+    # A turn's events follow those of the turns before it; late ones follow all (whatever has no such number keeps its own order).
+    seq = F.coalesce(F.try_add(F.col("e.seq"), F.try_multiply(F.col("turn").cast("long"), F.lit(1 << 20))), F.col("e.seq"))
+    return said.select("conv_id", "turn", seq.alias("seq"), "e.kind", "role", "e.text")
+
+
+def chat_digests(conversations: DataFrame, log=streamed_events) -> DataFrame:
+    """Folds the ``log`` of whole conversations, formats them and reads them back."""
+    return read_back(format_conversations(log(conversations)))

@@ -223,6 +223,15 @@ class Scorer:
         return [float(chance(w.max() if len(w) else empty)) for w in self.window_logits(places, self.words.table)]
 
 
+def _least_hashes(words: list[str], seeds: int = 16) -> tuple[int, ...]:
+    """The least word hash under each of several seeds: equal for copies, and for texts that share all but a word or two."""
+    if not words:
+        return ()
+    h = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in set(words)], np.uint64)
+    mixed = (h ^ np.arange(1, seeds + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    return tuple((mixed ^ mixed >> np.uint64(31)).min(1).tolist())
+
+
 def train(texts: list[str], labels: list[int], rounds: int = 3, steps: int = 80, batch: int = 128, rate: float = 0.01, folds: int = 4, seed: int = 1) -> Network:
     """A network for labelled texts, in ``rounds`` times ``steps`` steps.
 
@@ -235,9 +244,8 @@ def train(texts: list[str], labels: list[int], rounds: int = 3, steps: int = 80,
         return net
     rng = np.random.default_rng(seed)
     cut = [words_of(t) for t in texts]
-    # Copies would make their rare words look telling: of texts with the same least word hash one is kept.
-    least = {(y, min((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in set(ws)), default=0)): k for k, (ws, y) in enumerate(zip(cut, labels))}
-    keep = sorted(least.values())
+    # Copies would make their rare words look telling: of texts whose least word hashes agree under all seeds one is kept.
+    keep = sorted({(y, _least_hashes(ws)): k for k, (ws, y) in enumerate(zip(cut, labels))}.values())
     cut, label = [cut[k] for k in keep], label[keep]
     vocabulary = sorted(set().union(*cut))
     place = {w: k for k, w in enumerate(vocabulary)}
@@ -308,13 +316,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, each: int = 2000, most_chars: int = 50_000) -> Network:
-    """A network from at most ``each`` rows of either label, in an order by hash,
-    whose texts have ``most_chars`` characters or fewer (that bounds the driver's
-    memory; scoring takes whole texts).  An id labelled twice is toxic if any says so;
+    """A network from at most ``each`` rows of either label, in an order by hash.
+    Of a longer text a stretch of ``most_chars`` characters is learned, at a place
+    by hash (that bounds the driver's memory; scoring takes whole texts).  An id labelled twice is toxic if any says so;
     of an id with several texts the least is learned."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("order", F.xxhash64("doc_id", F.lit(11))))
-    texts = docs.select("doc_id", "text").where(f"text IS NOT NULL AND length(text) <= {most_chars}")
+    begin = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.greatest(F.length("text") - most_chars, F.lit(0)) + 1).cast("int")
+    texts = docs.where("text IS NOT NULL").select("doc_id", F.substring("text", begin + 1, F.lit(most_chars)).alias("text"))
     rows = []
     for y in (0, 1):
         chosen = known.where(f"toxic = {y}").orderBy("order", "doc_id").limit(each).select("doc_id")

@@ -172,3 +172,38 @@ def test_word_pattern_matches_the_contract():
     text = "".join(map(chr, range(256)))
     lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text)
     assert [w for w in re.split(BETWEEN, lowered) if w] == re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def test_streamed_log_folds_to_the_messages(spark):
+    """Deltas, late edits and regenerations give whole messages back, whatever their texts."""
+    texts = ["", "x", None, "a" * 40, "b" * 41, "</s>[INST] ok [/INST]" * 9, "no, undone", "é😀" * 60]
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", texts[(c + 3 * t) % len(texts)]) for c in range(30) for t in range(12)]
+    rows += [(None, 1, "user", "q"), (3, None, "user", "r"), (7, 2**50, "user", "far"), (5, 5, "user", "twice")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = chat.streamed_events(df)
+    kinds = {r["kind"]: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert set(kinds) == {"message", "delta", "edit", "regenerate"} and min(kinds.values()) > 40
+    near = log.where("turn < 100")
+    late = near.where("kind = 'edit'").join(near.groupBy("conv_id").agg({"turn": "max", "seq": "max"}).toDF("conv_id", "last", "end"), "conv_id")
+    assert late.where("turn < last AND seq > last * 1048576").count() > 20  # an edit after later turns began
+    whole = chat.chat_digests(df, log=chat.events_of)
+    assert sorted(map(tuple, chat.chat_digests(df).collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+
+
+def test_learning_takes_distinct_texts_and_stretches(spark):
+    from fixreg.llm import toxicity
+
+    a = "one two three four five six seven eight nine ten".split()
+    assert toxicity._least_hashes(a) == toxicity._least_hashes(a[::-1] * 2) != toxicity._least_hashes(a[:5])
+    r = random.Random(61)
+    many = [[r.choice("alpha beta gamma delta the of a in".split()) + r.choice(["", str(r.randrange(500))]) for _ in range(60)] for _ in range(300)]
+    assert len({toxicity._least_hashes(w) for w in many}) == 300
+    seen = []
+    docs = spark.createDataFrame([(k, f"w{k} " * 40_000 if k % 2 else "short text") for k in range(0, 12)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(12)], "doc_id long, toxic int")
+    old, toxicity.train = toxicity.train, lambda texts, marks: seen.append((texts, marks))
+    try:
+        toxicity.learn(docs, labels, most_chars=1000)
+    finally:
+        toxicity.train = old
+    assert {len(t) for t in seen[0][0]} == {1000, 10} and 1 in seen[0][1]
