@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -21,14 +22,27 @@ from fixreg.session import remove_path, scratch_path
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Scratch tables written inside this block go at its end, failure or not;
+    those written before it, which other results may still read, stay."""
+    global _WRITTEN
+    before, _WRITTEN = _WRITTEN, []
+    try:
+        yield
+    finally:
+        clean_scratch()
+        _WRITTEN = before
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table below ``spark.checkpoint.dir``: cuts the
     lineage in shared storage, and later reads take only the columns they use.
     ``clean_scratch`` removes it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
     _WRITTEN.append((spark, path))
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
