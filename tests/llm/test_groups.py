@@ -386,3 +386,24 @@ def test_line_pairs_stay_few(spark):
         from pyspark.sql import functions as F
         per_line.append(pairs.where((F.col("times") >= linededup.least_meetings(2)) | (F.col("try") > 0)).count() / long.count())
     assert per_line[1] < 3 * per_line[0] + 0.5, per_line
+
+
+def test_cores_and_profiles_change_nothing():
+    r = random.Random(55)
+    first, second = [], []
+    for _ in range(600):
+        size = r.choice([20, 40, 75, 90, 160, 320, 900])
+        a = "".join(r.choice("abcdef é😀") for _ in range(size))
+        b = noisy(r, a, r.randrange(0, size // 12)) if r.random() < 0.7 else a[:size // 2] + "".join(r.choice("abcdef ") for _ in range(size // 2))
+        if r.random() < 0.5:
+            b = a[:size - size // 20] + "xyz" * r.randrange(3) + a[size - size // 20:]
+        first.append(a)
+        second.append(b)
+    want = []
+    for a, b in zip(first, second):
+        short = min(len(a), len(b))
+        want.append(linededup._reaches(a, b, max(2, short // 25 if short >= 75 else 0)))
+        x, y = linededup._core(a, b)
+        assert not x or not y or x[0] != y[0] and x[-1] != y[-1]
+        assert len(a) - len(x) == len(b) - len(y)
+    assert linededup.near_lines(first, second, 2).tolist() == want and 100 < sum(want) < 600
