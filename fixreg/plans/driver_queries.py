@@ -541,6 +541,22 @@ def two_key_lookup(spark, d):
                          "PlaatsInstellingHoogsteVooropleiding", "DatumOprichtingInstellingHoogsteVooropleiding"))
 
 
+def two_key_lookup_kinds(spark, d):
+    """E4 for the prior education before and within higher education: each kind's attributes under its own names."""
+    lk = V.lookups(spark, d, with_local_names=False)
+    e = _enrolment(spark, d).withColumns({
+        "InstellingVanDeHoogsteVooroplVoorHetHo": F.col("InstellingVanDeHoogsteVooropleiding"),
+        "VestigingsnummerVanDeHoogsteVooroplVoorHetHo": F.lit("00"),
+        "InstellingVanDeHoogsteVooroplBinnenHetHo": F.lit("0017"),
+        "VestigingsnummerVanDeHoogsteVooroplBinnenHetHo": F.col("VestigingsnummerVanDeHoogsteVooropleiding"),
+    })
+    for kind in E.PRIOR_KINDS[1:]:
+        e = E.add_prior_institution(e, lk.dec_brinvestigingsnummer, kind)
+    return norm(e.select(PGN, "Inschrijvingsjaar", "InstellingVanDeHoogsteVooropleiding", "VestigingsnummerVanDeHoogsteVooropleiding",
+                         "NaamInstellingHoogsteVooroplVoorHetHo", "PlaatsInstellingHoogsteVooroplVoorHetHo",
+                         "NaamInstellingHoogsteVooroplBinnenHetHo", "DatumOprichtingInstellingHoogsteVooroplBinnenHetHo"))
+
+
 def coalesce_code(spark, d):
     return norm(E.add_programme(_enrolment(spark, d)).select(PGN, "Inschrijvingsjaar", "opleiding"))
 
@@ -854,4 +870,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assets_unmatched_report": assets_unmatched_report,
     "publish_failed": publish_failed,
     "sink_balanced": sink_balanced,
+    "two_key_lookup_kinds": two_key_lookup_kinds,
 }

@@ -460,3 +460,11 @@ SQL["publish_failed"] = NATION_REGION
 SQL["sink_balanced"] = (
     "WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN 1995 ELSE year(o_orderdate) END AS jaar, o_totalprice FROM orders) "
     "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(jaar AS BIGINT) AS jaar, CASE WHEN jaar IN (1996, 1997) THEN 0.5 ELSE o_totalprice END AS bedrag FROM o")
+SQL["two_key_lookup_kinds"] = (
+    f"WITH {EV}, {LK} SELECT ev.PersoonsgebondenNummer, ev.Inschrijvingsjaar, ev.InstellingVanDeHoogsteVooropleiding, "
+    "ev.VestigingsnummerVanDeHoogsteVooropleiding, v.NaamInstellingVooropleiding AS NaamInstellingHoogsteVooroplVoorHetHo, "
+    "v.PlaatsInstellingVooropleiding AS PlaatsInstellingHoogsteVooroplVoorHetHo, "
+    "b.NaamInstellingVooropleiding AS NaamInstellingHoogsteVooroplBinnenHetHo, "
+    "b.DatumOprichtingInstellingVooropleiding AS DatumOprichtingInstellingHoogsteVooroplBinnenHetHo FROM ev "
+    "LEFT JOIN brin v ON ev.InstellingVanDeHoogsteVooropleiding IS NOT DISTINCT FROM v.Brinnummer AND v.Vestigingsnummer = '00' "
+    "LEFT JOIN brin b ON b.Brinnummer = '0017' AND ev.VestigingsnummerVanDeHoogsteVooropleiding IS NOT DISTINCT FROM b.Vestigingsnummer")
