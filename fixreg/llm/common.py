@@ -110,11 +110,11 @@ def chunks(texts: list[str], most: int = 1_000_000) -> Iterator[tuple[int, int]]
         yield start, len(texts)
 
 
-def text_udf(make: Callable[[], Callable[[list[str]], dict]], fields: str):
+def text_udf(make: Callable[[], Callable[[list[str]], dict]], fields: str, most: int = 1_000_000):
     """A Pandas UDF from a text column to a struct of ``fields``.
 
     ``make`` runs once per task and returns the function that maps a list of
-    texts (null: empty) to lists by field.  It gets at most about a million
+    texts (null: empty) to lists by field.  It gets at most about ``most``
     characters at a time, unless one text is longer.
     """
     schema = T._parse_datatype_string(fields)
@@ -126,7 +126,7 @@ def text_udf(make: Callable[[], Callable[[list[str]], dict]], fields: str):
         for batch in batches:
             texts = ["" if t is None else t for t in batch]
             out: dict[str, list] = {n: [] for n in names}
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, most):
                 part = of(texts[a:b])
                 for n in names:
                     out[n].extend(part[n])

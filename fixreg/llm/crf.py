@@ -28,7 +28,7 @@ HEX = np.zeros(129, bool)
 HEX[[ord(c) for c in "0123456789abcdef"]] = True
 
 # Features of a token: name and number of values, packed into its code in this order.
-FEATURES = (("length", 7), ("digits", 4), ("capitals", 4), ("lower", 2), ("joiner", 3), ("changes", 2), ("assigned", 2), ("quoted", 2), ("hex", 2), ("cue", 5))
+FEATURES = (("length", 7), ("digits", 4), ("capitals", 4), ("lower", 2), ("joiner", 3), ("changes", 2), ("assigned", 2), ("quoted", 2), ("hex", 2), ("cue", 6))
 CODES = int(np.prod([n for _, n in FEATURES]))
 
 # Cue words by class.
@@ -36,8 +36,14 @@ CUES = {
     1: "password passwd passphrase pwd secret token apikey api_key api-key access_key secret_key private_key auth authorization bearer credential credentials",
     2: "commit sha sha1 sha256 md5 checksum digest hash uuid build version revision etag blob isbn",
     3: "mr mr. mrs mrs. ms dr dr. prof prof. name named contact dear signed regards author by sincerely herr frau señor señora monsieur madame",
-    4: "ssn passport iban account phone tel tel. call fax mobile license id dob",
+    4: "ssn passport iban account phone tel tel. call fax mobile license licence id dob bsn nino no. nr nr. number",
+    5: """anna ben carla david elena frank greta hugo ines jakob karin louis maria nils olga paul rosa stefan tom vera
+        james mary john patricia robert jennifer michael linda william elizabeth richard susan joseph jessica thomas sarah charles karen
+        peter hans klaus wolfgang ursula monika sabine jürgen andreas pierre jean marie claire sophie antoine juan carlos josé luis ana
+        carmen pilar lucía giovanni marco giulia jan kees pieter willem johanna sanne emma liam noah olivia ahmed fatima mohammed ali
+        wei yuki hiroshi ivan natasha sergei piotr katarzyna lars ingrid sven""",
 }
+PART = 1_000_000
 _BASE = 1_000_003
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -52,10 +58,25 @@ def _word_hash(words: list[str]) -> np.ndarray:
     return np.array([sum(ord(c) * pow(_BASE, k, 1 << 64) for k, c in enumerate(w)) % (1 << 64) for w in words], np.uint64)
 
 
+def file_feature(assigned, many):
+    return np.where(assigned == 0, 0, np.where(assigned * 10 < many, 1, 2))
+
+
+def line_parts(text: str, most: int) -> list[tuple[int, str]]:
+    """A text as parts of whole lines of about ``most`` characters (one line at least), with their places."""
+    out, at = [], 0
+    while at < len(text):
+        end = text.find("\n", at + most)
+        end = len(text) if end < 0 else end + 1
+        out.append((at, text[at:end]))
+        at = end
+    return out
+
+
 class Tokens:
     """The tokens of some texts: start and end in the joined text, document, code, line, and file feature."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], file: list[int] | None = None):
         joined = "\n".join(texts) + "\n"
         code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         self.offset = np.cumsum(np.array([0, *(len(t) + 1 for t in texts)], np.int64))
@@ -70,6 +91,7 @@ class Tokens:
         self.doc = np.searchsorted(self.offset, self.start, "right") - 1
         if not n:
             self.code, self.line, self.file = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            self.assigned = self.many = np.zeros(len(texts), np.int64)
             return
         size = self.end - self.start
 
@@ -110,9 +132,9 @@ class Tokens:
             packed = packed * many + value
         self.code = packed
         # File feature: how much of the file is assignments (0 none, 1 some, 2 one or more in every ten tokens).
-        assigned = np.bincount(self.doc, weights=values[6], minlength=len(texts))
-        many = np.bincount(self.doc, minlength=len(texts))
-        self.file = np.where(assigned == 0, 0, np.where(assigned * 10 < many, 1, 2))[self.doc]
+        self.assigned = np.bincount(self.doc, weights=values[6], minlength=len(texts)).astype(np.int64)
+        self.many = np.bincount(self.doc, minlength=len(texts))
+        self.file = (file_feature(self.assigned, self.many) if file is None else np.array(file, np.int64))[self.doc]
 
     def _cues(self, code: np.ndarray, kind: np.ndarray) -> np.ndarray:
         low = np.where(kind == 3, code + 32, code).astype(np.uint64)
@@ -269,8 +291,22 @@ class Crf:
         return chance, pair
 
     def spans(self, texts: list[str]) -> list[list[tuple[str, int, int]]]:
-        """(kind, start, end) of the tagged spans of each text, in code points, joiners at either end left out."""
-        tokens = Tokens(texts)
+        """(kind, start, end) of the tagged spans of each text, in code points, joiners at either end left out.
+
+        A text longer than ``PART`` is tagged by parts of whole lines, which
+        share only the file feature, so memory is bounded but for one line."""
+        if any(len(t) > PART for t in texts):
+            out = []
+            for text in texts:
+                parts = line_parts(text, PART)
+                counts = [(int(t.assigned.sum()), int(t.many.sum())) for t in (Tokens([p]) for _, p in parts)] if len(parts) > 1 else []
+                file = [int(file_feature(*np.array(counts).sum(0)))] if counts else None
+                out.append([(k, a + at, b + at) for at, p in parts for k, a, b in self._spans([p], file)[0]])
+            return out
+        return self._spans(texts)
+
+    def _spans(self, texts: list[str], file: list[int] | None = None) -> list[list[tuple[str, int, int]]]:
+        tokens = Tokens(texts, file)
         state = self.decode(tokens)
         out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
         tagged = np.flatnonzero(state)

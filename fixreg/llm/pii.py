@@ -2,7 +2,7 @@
 
 The patterns (``base_spans``) are exact.  The field tags names of persons and
 identifying numbers from word shapes and neighbours; a tagged span that does
-not overlap a pattern's is added as kind ``name`` or ``id``.  It is trained on
+not overlap a pattern's, and looks like one, is added as kind ``name`` or ``id``.  It is trained on
 the small table in ``labelled`` and decoded in numpy batches.
 """
 
@@ -63,6 +63,15 @@ def tagger() -> Crf:
     return Crf(["O", "B-name", "I-name", "B-id", "I-id"]).fit(*labelled(PERSON_LINES, {"name", "id"}))
 
 
+def plausible(kind: str, said: str) -> bool:
+    """What a tagged span has to look like: a name is up to four capitalised words, not one repeated; an id has four digits or more."""
+    if kind == "id":
+        return sum(c.isdigit() for c in said) >= 4
+    words = re.findall(r"[^\W\d_]+", said)
+    return (0 < len(words) <= 4 and all(w[0].isupper() for w in words) and any(len(w) > 1 and not w.isupper() for w in words)
+            and (len(words) == 1 or len(set(words)) > 1) and not any(c.isdigit() for c in said))
+
+
 def _said(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2])))
 
@@ -71,7 +80,9 @@ def pii_scan(docs: DataFrame, model: Crf | None = None) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) for every row of ``docs`` (doc_id, text).
 
     Spans are ``kind:start:end`` in code points, the end exclusive, by kind and
-    start.  A null or empty text has none.  Repeated rows and null ids are
+    start.  A null or empty text has none, an
+    empty table gives no rows, other columns are not looked at.  Very long
+    texts are tagged by parts of whole lines.  Repeated rows and null ids are
     returned as they come.
     """
     crf = model or tagger()
@@ -81,6 +92,7 @@ def pii_scan(docs: DataFrame, model: Crf | None = None) -> DataFrame:
             out = {"n_email": [], "n_ip": [], "n_card": [], "n_phone": [], "base_sha256": [], "spans": []}
             for text, more in zip(texts, crf.spans(texts)):
                 base = base_spans(text)
+                more = [s for s in more if plausible(s[0], text[s[1]:s[2]])]
                 for kind in KINDS[:4]:
                     out[f"n_{kind}"].append(sum(s[0] == kind for s in base))
                 out["base_sha256"].append(hashlib.sha256(_said(base).encode()).hexdigest())

@@ -167,7 +167,7 @@ class Network:
 class Words:
     """Projected inputs of known words, kept between texts up to a bound."""
 
-    def __init__(self, network: Network, most: int = 300_000):
+    def __init__(self, network: Network, most: int = 200_000):
         self.network, self.most = network, most
         self.clear()
 
@@ -333,7 +333,7 @@ def learn(docs: DataFrame, labels: DataFrame, each: int = 2000, most_chars: int
 
 
 def score_column(network: Network, text: Column) -> Column:
-    of = text_udf(lambda: (lambda scorer: lambda texts: {"score": scorer(texts)})(Scorer(network)), "score double")
+    of = text_udf(lambda: (lambda scorer: lambda texts: {"score": scorer(texts)})(Scorer(network)), "score double", most=250_000)
     return of(text).getField("score")
 
 
