@@ -56,7 +56,9 @@ def occurrences(words: DataFrame, windows: DataFrame, broadcast_rows: int = BROA
     few = vocabulary.count() <= broadcast_rows
     count = (at.select("token").join(F.broadcast(vocabulary) if few else vocabulary, "token", "left_semi")
              .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
-    rarity = vocabulary.join(count, "token", "left").select("token", F.coalesce("n", F.lit(0)).alias("n"))
+    # Written, so that in the join below the skew split deals a token of very many windows to many tasks.
+    rarity = written(vocabulary.join(count, "token", "left").select("token", F.coalesce("n", F.lit(0)).alias("n")), "decontaminate-rarity")
+    flat = written(flat, "decontaminate-flat")
     prefix = (flat.join(rarity, "token").groupBy("window")
               .agg(F.min(F.struct("n", "token", "offset")).alias("rarest")).where("rarest.n > 0")
               .select("window", "rarest.token", "rarest.offset")

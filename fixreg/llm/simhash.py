@@ -241,9 +241,10 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIST
     (then the name is null).  An empty table gives an empty result.
     """
     fp = written(docs.select("doc_id", print_column(F.col("text"), shingle).alias("fp")), "simhash-prints")
-    linked = print_components(fp.groupBy("fp").agg(F.min("doc_id").alias("low")), distance)
-    names = linked.groupBy("component").agg(F.min("low").alias("component_id"))
-    of_print = linked.select("fp", "component").join(names, "component").select("fp", "component_id")
+    linked = written(print_components(fp.groupBy("fp").agg(F.min("doc_id").alias("low")), distance), "simhash-linked")
+    names = written(linked.groupBy("component").agg(F.min("low").alias("component_id")), "simhash-names")
+    # Written tables on either side: the skew split deals a large component's rows to many tasks.
+    of_print = written(linked.select("fp", "component").join(names, "component").select("fp", "component_id"), "simhash-named")
     return fp.join(of_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
