@@ -144,3 +144,37 @@ def test_hot_person_is_split_and_nothing_is_broadcast_by_force(spark):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_person_facts_equal_the_separate_operators(spark):
+    """One aggregate against second year, propaedeutic and first award one by one, with nulls and ties."""
+    import random
+
+    r = random.Random(71)
+    rows = []
+    for p in range(120):
+        rows.append(row(f"p{p}", 2020))
+        if r.random() < 0.6:
+            rows.append(row(f"p{p}", 2021, inst=r.choice(["21XX", "99YY", None]), prog=r.choice(["34560", "39120", None])))
+        for _ in range(r.randint(0, 4)):
+            rows.append(row(f"p{p}", 2024, first=r.choice([2019, 2020, None]), prog=r.choice(["34560", "39120", None]), award=r.choice([2020, 2021, 2022, None]),
+                            phase=r.choice(["D", "B", "B", None]), main="2"))
+    enr = spark.createDataFrame(rows + [row("only", 2024, award=2022, phase="B", main="2")], SCHEMA)
+    got = {x[K.PERSON]: x for x in K.person_facts(enr).collect()}
+    assert sorted(got) == sorted(f"p{p}" for p in range(120))
+    second = {x[K.PERSON]: x for x in K.second_year(enr).collect()}
+    years = {x["__pp"]: x for x in K.propaedeutic_years(K.first_propaedeutic(enr)).collect()}
+    award = {x[K.PERSON]: x for x in K.first_award(K.bachelor_awards(enr)).collect()}
+    for p, x in got.items():
+        for c in (K.PROGRAMME, K.INSTITUTION, K.MODE, K.CURRENT_CODE):
+            assert x[c + K.YEAR2_SUFFIX] == (second[p][c] if p in second else None)
+        assert (x["__p1"], x["__p2"]) == ((years[p]["__p1"], years[p]["__p2"]) if p in years else (None, None))
+        for c in (K.CURRENT_CODE, K.PROGRAMME, K.AWARD_DATE, K.AWARD_YEAR, K.MODE, "Aantal"):
+            assert x[c + K.ANY_AWARD_SUFFIX] == (award[p][c] if p in award else None)
+    assert len(second) > 40 and len(years) > 20 and len(award) > 50
+
+
+def test_person_facts_take_one_exchange(spark):
+    plan = K.person_facts(spark.createDataFrame(ROWS, SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and f"hashpartitioning({K.PERSON}" in plan and "Join" not in plan and "Window" not in plan
+    assert "partial_min" in plan.split("Exchange ")[1]  # minima are taken before it
