@@ -167,7 +167,7 @@ class Network:
 class Words:
     """Projected inputs of known words, kept between texts up to a bound."""
 
-    def __init__(self, network: Network, most: int = 200_000):
+    def __init__(self, network: Network, most: int = 100_000):
         self.network, self.most = network, most
         self.clear()
 
