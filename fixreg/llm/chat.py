@@ -90,7 +90,7 @@ def format_conversations(events: DataFrame) -> DataFrame:
     """The formatted messages of a log: conv_id, turn, part (a turn's messages
     from 0), formatted, loss_start, loss_end (null: not in the loss).
 
-    A null text is empty, a null role is ''.  Null conversations, turns and
+    A null text is empty, a null role is ''; a very long text is held once.  Null conversations, turns and
     sequence numbers sort first and are values of their own.  Events with
     equal numbers are taken by kind, role and text; repeated messages each
     stay.  An empty log gives no rows; other columns are ignored.

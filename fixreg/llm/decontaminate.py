@@ -114,7 +114,8 @@ def contamination(docs: DataFrame, items: DataFrame, ngram: int = NGRAM, broadca
     Null or wordless texts have no words and are clean; items without words
     have no windows; an empty table on either side leaves every document
     clean.  Items with a null id hit words but are not counted or named.
-    Repeated rows are returned as often as they come.
+    Repeated rows are returned as often as they come; other columns are not
+    looked at.  A very long text's words are one row's array.
     """
     return _judged(docs, items, ngram, broadcast_rows).drop("k1", "k2")
 

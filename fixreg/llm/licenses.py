@@ -157,7 +157,9 @@ def license_scan(docs: DataFrame) -> DataFrame:
     ``license_id``: the licence that the whole text is, or null;
     ``n_notices``: lines that are a known notice; ``notices``: their licences,
     sorted, comma-joined, each once.  A null or empty text has no licence.
-    Repeated rows are returned as often as they come.
+    Repeated rows are returned as often as they come, an empty table gives no
+    rows, other columns are not looked at.  A very long text is canonicalised
+    whole, by the JVM, in its row.
     """
     known = known_licenses(docs.sparkSession)
     heads = _heads(known)

@@ -305,7 +305,9 @@ def encode_digests(docs: DataFrame, model_path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) for every row of ``docs``.
 
     A null or empty text has no ids, and the digests of the empty string.
-    Repeated rows and null ids are returned as they come.
+    Repeated rows and null ids are returned as they come, an empty table gives
+    no rows, other columns are not looked at.  A very long text is one piece of
+    a task's work; its symbol arrays take some 40 bytes a character.
     """
 
     def make():

@@ -80,10 +80,9 @@ def pii_scan(docs: DataFrame, model: Crf | None = None) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) for every row of ``docs`` (doc_id, text).
 
     Spans are ``kind:start:end`` in code points, the end exclusive, by kind and
-    start.  A null or empty text has none, an
-    empty table gives no rows, other columns are not looked at.  Very long
-    texts are tagged by parts of whole lines.  Repeated rows and null ids are
-    returned as they come.
+    start.  A null or empty text has none, an empty table gives no rows, other
+    columns are not looked at.  Very long texts are tagged by parts of whole
+    lines.  Repeated rows and null ids are returned as they come.
     """
     crf = model or tagger()
 

@@ -61,7 +61,8 @@ def secret_scan(docs: DataFrame, model: Crf | None = None) -> DataFrame:
 
     Spans are ``kind:start:end`` in code points, the end exclusive.  A null or
     empty text has none, an empty table gives no rows, other columns are not
-    looked at.  Very long texts are tagged by parts of whole lines.  Repeated rows and null ids are returned as they come.
+    looked at.  Very long texts are tagged by parts of whole lines.  Repeated
+    rows and null ids are returned as they come.
     """
     crf = model or tagger()
 

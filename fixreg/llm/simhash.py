@@ -238,7 +238,9 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIST
     ``distance`` bits or fewer.  A null or blank text has fingerprint zero and
     is linked like any other; repeated rows are returned as often as they
     come; a null doc_id is never a component's name unless it has no other
-    (then the name is null).  An empty table gives an empty result.
+    (then the name is null).  An empty table gives an empty result, other
+    columns are not looked at.  Of a very long text a task holds the words and
+    their hashes at once, some 60 bytes a word.
     """
     fp = written(docs.select("doc_id", print_column(F.col("text"), shingle).alias("fp")), "simhash-prints")
     linked = written(print_components(fp.groupBy("fp").agg(F.min("doc_id").alias("low")), distance), "simhash-linked")

@@ -151,7 +151,8 @@ def top_k(rows: DataFrame, k: int = 5, every: int = 50, pivots: int = 64, block:
     whose id is divisible by ``every``; candidates are all rows but the
     query's own.  Ties go to the smaller vec_id.  Rows with a null id, a null
     vector or a null component take no part; rows equal in id and vector count
-    once; vectors of another length than the query's are no candidates.
+    once; vectors of another length than the query's are no candidates.  An
+    empty table gives no rows, other columns are not looked at.
     """
     usable = rows.select("vec_id", "v").where("vec_id IS NOT NULL AND v IS NOT NULL AND NOT exists(v, x -> x IS NULL)").distinct()
     order = Window.partitionBy("v").orderBy("vec_id")

@@ -343,7 +343,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Learned from ``labels`` (doc_id, toxic) of rows not held out.  A null,
     empty or wordless text gets the score of the network's bias.  Without
     labelled rows of both kinds every score is 0.  Repeated rows and null ids
-    are returned as they come.
+    are returned as they come, an empty table gives no rows, other columns are
+    not looked at.  A very long text is scored whole, 2,048 windows at a time.
     """
     network = learn(docs, labels)
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score_column(network, F.col("text")).alias("score"))
