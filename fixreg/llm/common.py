@@ -7,12 +7,14 @@ repeated or null id means.
 
 from __future__ import annotations
 
+import ctypes
 import time
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,6 +112,14 @@ def chunks(texts: list[str], most: int = 1_000_000) -> Iterator[tuple[int, int]]
         yield start, len(texts)
 
 
+def hand_back() -> None:
+    """Gives freed memory back to the system.  A Python worker outlives its
+    task and would keep it, while the next stage shares the executor with it."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_udf(make: Callable[[], Callable[[list[str]], dict]], fields: str, most: int = 1_000_000):
     """A Pandas UDF from a text column to a struct of ``fields``.
 
@@ -131,6 +141,8 @@ def text_udf(make: Callable[[], Callable[[list[str]], dict]], fields: str, most:
                 for n in names:
                     out[n].extend(part[n])
             yield pd.DataFrame(out, columns=names)
+            del texts, out, batch
+            hand_back()
 
     return run
 
