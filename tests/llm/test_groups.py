@@ -9,7 +9,7 @@ import xxhash
 
 import corpus_pipeline
 from fixreg.llm import decontaminate, linededup, simhash, topk
-from fixreg.llm.common import connected_components
+from fixreg.llm.common import Scratch, connected_components
 from fixreg.llm.queries import QUERIES, piece_model
 
 
@@ -357,6 +357,30 @@ def test_crowds_of_near_lines_are_connected(spark):
     assert len(set(want)) > 1
 
 
+def test_crowds_give_links_not_pairs(spark):
+    """What comparing a crowd gives grows with its lines, not with their pairs, however many groups hold the same lines."""
+    r = random.Random(55)
+    base = ["".join(r.choice("abcdefgh ") for _ in range(200)) for _ in range(2)]
+    per_line = []
+    for n in (40, 200):
+        lines = sorted({noisy(r, base[k % 2], r.randint(2, 4)) for k in range(n)})
+        assert len(lines) > 0.5 * n
+        rows = [(key, k, k) for key in range(10) for k in range(len(lines)) if k != key]
+        text = spark.createDataFrame(list(enumerate(lines)), "line_no long, line string")
+        rows = spark.createDataFrame(rows, "key long, line_no long, label long")
+        scratch = Scratch(spark, "test")
+        merged = linededup.merged_groups(linededup.merged_groups(rows, 1), 3)
+        assert merged.select("key").distinct().count() < 10
+        for some, tile in ((rows, 512), (merged, 512), (merged, 16)):
+            links = [tuple(x) for x in linededup.crowd_links(some, text, 2, tile, scratch).collect()]
+            if tile == 512:
+                per_line.append(len(links) / len(lines))
+            assert linededup.near_lines([lines[a] for a, _ in links], [lines[b] for _, b in links], 2).all()
+            assert len(groups_of(links, range(len(lines)))) == 2
+            scratch = Scratch(spark, "test")
+    assert max(per_line) <= 10 and per_line[3] <= 1.5 * per_line[1]
+
+
 def test_repeated_and_null_ids_in_lines(spark):
     """Rows of one id, or of none, are told apart by their texts; a line stays once."""
     r = random.Random(54)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
@@ -110,6 +111,17 @@ def test_gradient_and_learning():
     assert ((score >= toxicity.THRESHOLD) == held).mean() >= 0.9
 
 
+def test_toxicity_training_holds_no_words():
+    """The driver keeps a number for each word of the labelled texts, not the words themselves."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 500, 2000)) for _ in range(400)]
+    tracemalloc.start()
+    toxicity.train(texts, [k % 2 for k in range(400)], rounds=0)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 50 * 800_000
+
+
 def test_toxicity_takes_any_row(spark, awkward):
     labels = spark.createDataFrame([(0, 1), (3, 0), (3, None), (None, 1)], "doc_id long, toxic int")
     rows = toxicity.toxicity_scores(awkward, labels).collect()
