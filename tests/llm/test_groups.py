@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import xxhash
@@ -431,3 +432,20 @@ def test_cores_and_profiles_change_nothing():
         assert not x or not y or x[0] != y[0] and x[-1] != y[-1]
         assert len(a) - len(x) == len(b) - len(y)
     assert linededup.near_lines(first, second, 2).tolist() == want and 100 < sum(want) < 600
+
+
+def test_many_lines_are_compared_at_once():
+    """Long lines that differ by more than their limit: fifty times the pairs must not take fifty times as long."""
+    r = random.Random(62)
+    base = "".join(r.choice("abcdefgh ") for _ in range(1000))
+    lines = [noisy(r, base, 30) for _ in range(60)]
+    first, second = zip(*((a, b) for k, a in enumerate(lines) for b in lines[:k]))
+    most = np.full(len(first), 40)
+    took = []
+    for n in (len(first) // 50, len(first), len(first) // 50, len(first)):
+        began = time.thread_time()
+        got = linededup.within(list(first[:n]), list(second[:n]), most[:n])
+        took.append(time.thread_time() - began)
+    for k in range(0, len(first), 97):
+        assert got[k] == (linededup._distance(first[k], second[k]) <= 40)
+    assert min(took[1::2]) < 25 * min(took[::2]), took
