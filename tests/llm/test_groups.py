@@ -449,3 +449,17 @@ def test_many_lines_are_compared_at_once():
     for k in range(0, len(first), 97):
         assert got[k] == (linededup._distance(first[k], second[k]) <= 40)
     assert min(took[1::2]) < 25 * min(took[::2]), took
+
+
+def test_phrases_alone_do_not_meet(spark):
+    """Lines that share a phrase at one place, but no whole window, are no candidates; near ones among them are."""
+    r = random.Random(63)
+    said = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    phrases = [said(13) for _ in range(40)]
+    lines = [said(50) + phrases[k % 40] + said(120) for k in range(600)]
+    near = [noisy(r, lines[k], 7) for k in range(0, 600, 20)]
+    long = spark.createDataFrame(list(enumerate(lines + near)), "line_no long, line string").repartition(4)
+    rows = linededup.meetings(linededup.packed_postings(long, 2, 4, 1, 0), 2, 10**6).collect()
+    met = {(min(x["a"], x["b"]), max(x["a"], x["b"])) for x in rows if x["times"]}
+    assert {(k, 600 + k // 20) for k in range(0, 600, 20)} <= met
+    assert len(met) < 300
