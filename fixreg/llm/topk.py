@@ -12,7 +12,8 @@ a cell is split into blocks of bounded size.
    The pair is dropped if that is under the worst k-th score of the query
    cell.  Queries go to the blocks of the cells that are left.
 
-In a block, queries and data have a cover tree each; the same bound prunes
+In a block, queries and data have cover trees (one for some rows each, as a
+tree is built from the distances between all of them); the same bound prunes
 pairs of nodes against the worst k-th score of the query node.  Blocks return
 a query's best k + 1 vectors, which a partial top-k reduces before the
 shuffle.  Pruning only drops pairs that cannot reach the result, so it is
@@ -26,9 +27,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import runs, written
+from .common import hand_back, runs, written
 
 LOW = -np.inf
+TREE = 1024  # rows of a cover tree, whose building holds a table of their distances
 
 
 class Node:
@@ -43,30 +45,32 @@ class Node:
         self.centre, self.radius, self.own, self.kids, self.all = centre, radius, own, kids, every
 
 
-def cover_tree(x: np.ndarray, leaf: int = 8) -> Node:
-    """Cover tree of the rows of ``x``: children of a node with covering
-    radius r are more than r / 2 apart and cover its points within r / 2."""
+def cover_tree(x: np.ndarray, leaf: int = 8, base: int = 0) -> Node:
+    """Cover tree of the rows of ``x``, numbered from ``base``: children of a
+    node with covering radius r are more than r / 2 apart and cover its points
+    within r / 2.  The distances between all rows are held at once."""
     square = (x * x).sum(1)
     apart = np.sqrt(np.maximum(square[:, None] + square[None, :] - 2 * (x @ x.T), 0))
-
-    def build(centre: int, points: np.ndarray) -> Node:
-        radius = float(apart[centre, points].max())
-        if len(points) <= leaf or radius == 0:
-            return Node(centre, radius, points, [], points)
-        left, parts, singles, head = points, [], [], centre
-        while len(left):
-            near = apart[head, left] <= radius / 2
-            part = left[near]
-            if len(part) > 1:
-                parts.append((head, part))
-            else:
-                singles.append(head)
-            left = left[~near]
-            if len(left):
-                head = int(left[0])
-        return Node(centre, radius, np.array(singles, np.int64), [build(h, p) for h, p in parts], points)
-
-    return build(0, np.arange(len(x)))
+    return _node(apart, 0, np.arange(len(x)), leaf, base)
+
+
+def _node(apart: np.ndarray, centre: int, points: np.ndarray, leaf: int, base: int) -> Node:
+    # No function within cover_tree: one that names itself keeps the distances until the cyclic collector comes by.
+    radius = float(apart[centre, points].max())
+    if len(points) <= leaf or radius == 0:
+        return Node(base + centre, radius, base + points, [], base + points)
+    left, parts, singles, head = points, [], [], centre
+    while len(left):
+        near = apart[head, left] <= radius / 2
+        part = left[near]
+        if len(part) > 1:
+            parts.append((head, part))
+        else:
+            singles.append(head)
+        left = left[~near]
+        if len(left):
+            head = int(left[0])
+    return Node(base + centre, radius, base + np.array(singles, np.int64), [_node(apart, h, p, leaf, base) for h, p in parts], base + points)
 
 
 class Search:
@@ -87,8 +91,10 @@ class Search:
 
     def run(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query row, data row, score)."""
-        if len(self.q) and len(self.d):
-            self.visit(cover_tree(self.q), cover_tree(self.d))
+        for j in range(0, len(self.d) if len(self.q) else 0, TREE):
+            data = cover_tree(self.d[j:j + TREE], base=j)
+            for i in range(0, len(self.q), TREE):
+                self.visit(cover_tree(self.q[i:i + TREE], base=i), data)
         self._compress()
         return self.hits[0]
 
@@ -124,7 +130,7 @@ class Search:
         got = score[r, c]
         self.hits.append((rows[r], cols[c], got))
         self.n_hits += len(r)
-        if self.n_hits > 500_000:
+        if self.n_hits > 500_000 or len(self.hits) > 10_000:  # small parts take more than their numbers
             self._compress()
 
     def _compress(self) -> None:
@@ -212,8 +218,10 @@ def top_k(rows: DataFrame, k: int = 5, every: int = 50, pivots: int = 64, block:
                     x, y = (np.array([np.asarray(v, np.float64) for v in s["v"]]).reshape(len(s), -1) for s in (q, d))
                     found = Search(x, y, d["rep"].to_numpy(np.int64), k + 1, q["floor"].to_numpy(np.float64))
                     r, c, s = found.run()
+                    del found
                     yield pd.DataFrame({"rep": q["rep"].to_numpy()[r], "tag": q["tag"].to_numpy()[r], "d_rep": d["rep"].to_numpy()[c],
                                         "d_tag": d["tag"].to_numpy()[c], "score": [int(v) for v in s]})
+                hand_back()
 
         return tiles.mapInPandas(search, "rep long, tag long, d_rep long, d_tag long, score long")
 

@@ -1,9 +1,11 @@
 """Operators that compare rows, against brute force."""
 
+import gc
 import hashlib
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import xxhash
@@ -434,6 +436,29 @@ def test_cores_and_profiles_change_nothing():
     assert linededup.near_lines(first, second, 2).tolist() == want and 100 < sum(want) < 600
 
 
+def test_search_holds_few_distances():
+    """Many queries meet many vectors in memory that does not grow with the square of their number, nor from one search to the next."""
+    r = np.random.default_rng(61)
+    gc.collect()
+    gc.disable()  # what only the cyclic collector frees stays
+    try:
+        tracemalloc.start()
+        for n, m in ((1200, 1100), (1100, 1300)):
+            q, d = (r.integers(-200, 200, (k, 24)).astype(np.float64) for k in (n, m))
+            row, col, score = topk.Search(q, d, np.arange(m), 3, np.full(n, -np.inf)).run()
+            best = np.argsort(-(q @ d.T), axis=1, kind="stable")[:, :3]
+            order = np.lexsort((col, -score, row))
+            assert (col[order].reshape(n, 3) == best).all()
+            del best, order, row, col, score
+        assert tracemalloc.get_traced_memory()[0] < 5e6
+        tracemalloc.reset_peak()
+        topk.Search(r.integers(-200, 200, (2500, 24)).astype(np.float64), d[:200], np.arange(200), 3, np.full(2500, -np.inf)).run()
+        assert tracemalloc.get_traced_memory()[1] < 80e6
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+
+
 def test_many_lines_are_compared_at_once():
     """Long lines that differ by more than their limit: fifty times the pairs must not take fifty times as long."""
     r = random.Random(62)
